@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reporting model is batch only: month-end marts are rebuilt from files,
+with no event-time windows, watermarks or state anywhere. Every operator in
+``closebook.operators`` is a plain DataFrame function, so it can also be
+applied inside ``foreachBatch`` of a file stream if incremental refresh is
+ever wanted; no streaming-specific operator exists to build.
+"""
