@@ -31,3 +31,16 @@ def quarter_of(c: Column | str) -> Column:
 
 def month_start(c: Column | str) -> Column:
     return F.trunc(as_date(c), "month")
+
+
+def in_years(c: Column | str, first: int, last: int | None = None) -> Column:
+    """``first <= year(c) <= last`` written as a date range on ``c``.
+
+    Same rows as a filter on ``year(c)``, but a range on the date itself is
+    unwrapped by Catalyst into timestamp bounds that reach the Parquet reader
+    (PushedFilters), so row groups outside the years are skipped.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    last = first if last is None else last
+    return ((c >= F.lit(f"{first:04d}-01-01").cast("date"))
+            & (c < F.lit(f"{last + 1:04d}-01-01").cast("date")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from closebook.functions.dates import in_years
 from closebook.functions.numeric import millions, msum, pct
 
 
@@ -24,7 +25,7 @@ def _mix(mart: DataFrame, year: int, axis: str) -> DataFrame:
     The reference divides by an uncorrelated scalar subquery; here the total
     is a window over the per-axis aggregate (a few rows), one scan of the fact.
     """
-    agg = (mart.filter(F.col("yr") == F.lit(year)).groupBy(axis)
+    agg = (mart.filter(in_years("order_date", year)).groupBy(axis)
            .agg(msum("revenue").alias("revenue")))
     total = F.sum("revenue").over(Window.partitionBy())
     return (agg.select(axis, millions(F.col("revenue"), 2).alias("revenue_m"),

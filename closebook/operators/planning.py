@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.functions import constants as K
-from closebook.functions.dates import year_month
+from closebook.functions.dates import in_years, year_month
 from closebook.functions.numeric import msum, rnd, safe_div
 
 BUDGET_COLUMNS = ["yr", "mo", "type", "ch", "cat", "cc_id", "amount", "margin_pc"]
@@ -80,7 +80,7 @@ def budget_revenue(mart: DataFrame, year: int, growth: float = K.GROWTH_N) -> Da
     Target, shares and margin rates come from the N-1 actuals; the cells are
     the (channel, category) pairs sold in N-1, each expanded into 12 months.
     """
-    base = (mart.filter((F.col("yr") == F.lit(year - 1)) & F.col("ch").isNotNull()
+    base = (mart.filter(in_years("order_date", year - 1) & F.col("ch").isNotNull()
                         & F.col("cat").isNotNull())
             .groupBy("ch", "cat")
             .agg(msum("revenue").alias("rev"), msum("margin").alias("mar")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from closebook.functions.dates import in_years
 from closebook.functions.numeric import dround, millions, msum, pct, rnd, safe_div
 
 
@@ -12,7 +13,7 @@ def _slice(mart: DataFrame, year: int | None = None, channel: str | None = None)
     """Parameterised slice; values are bound as literals, never spliced into SQL text."""
     df = mart
     if year is not None:
-        df = df.filter(F.col("yr") == F.lit(year))
+        df = df.filter(in_years("order_date", year))
     if channel is not None:
         df = df.filter(F.col("ch") == F.lit(channel))
     return df
@@ -76,7 +77,7 @@ def headline_kpis(mart: DataFrame, year: int, channel: str | None = None) -> Dat
 
     Growth and margin-rate deltas are NULL when N-1 has no sales.
     """
-    df = _slice(mart, None, channel).filter(F.col("yr").isin(year, year - 1))
+    df = _slice(mart, None, channel).filter(in_years("order_date", year - 1, year))
     cur = F.col("yr") == F.lit(year)
     prev = F.col("yr") == F.lit(year - 1)
     agg = df.agg(

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from closebook.functions.dates import in_years
 from closebook.functions.numeric import dround, millions, msum, no_negative_zero, pct, rnd, safe_div
 
 
@@ -29,7 +30,7 @@ def pvm_pivot(mart: DataFrame, year: int, keys=("cat",)) -> DataFrame:
     """
     cur = F.col("yr") == F.lit(year)
     prev = F.col("yr") == F.lit(year - 1)
-    agg = (mart.filter(F.col("yr").isin(year, year - 1))
+    agg = (mart.filter(in_years("order_date", year - 1, year))
            .groupBy(*keys)
            .agg(F.sum(F.when(cur, F.col("qty"))).alias("qty_n"),
                 F.sum(F.when(prev, F.col("qty"))).alias("qty_1"),
@@ -107,7 +108,7 @@ def pvm_mix_by_sku(mart: DataFrame, year: int) -> DataFrame:
     """
     cur = F.col("yr") == F.lit(year)
     prev = F.col("yr") == F.lit(year - 1)
-    sku = (mart.filter(F.col("yr").isin(year, year - 1) & F.col("cat").isNotNull())
+    sku = (mart.filter(in_years("order_date", year - 1, year) & F.col("cat").isNotNull())
            .groupBy("cat", "sku")
            .agg(F.sum(F.when(cur, F.col("qty"))).alias("q_n"),
                 F.sum(F.when(prev, F.col("qty"))).alias("q_1"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closebook.functions import constants as K
+from closebook.functions.dates import in_years
 from closebook.functions.numeric import dround, millions, msum, pct, rnd, safe_div
 
 CELL = ["mo", "ch", "cat"]
@@ -38,7 +39,7 @@ def actual_vs_budget(mart: DataFrame, budget_cells: DataFrame, year: int,
     join sees one row per cell. Actuals are the left side: a budget cell
     without sales disappears (``how='full'`` keeps it, as an opt-in).
     """
-    act = mart.filter(F.col("yr") == F.lit(year))
+    act = mart.filter(in_years("order_date", year))
     if channel is not None:
         act = act.filter(F.col("ch") == F.lit(channel))
     act = act.groupBy(*CELL).agg(msum("revenue").alias("actual_revenue"),

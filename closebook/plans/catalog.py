@@ -69,39 +69,64 @@ def _round(df: DataFrame, digits: int, *cols: str) -> DataFrame:
 # shared building blocks (lazy; each query builds its own plan)
 # --------------------------------------------------------------------------
 
+def _memo(fn):
+    """Build a shared lazy plan once per TestData accessor (plans, not data)."""
+    @functools.wraps(fn)
+    def wrapper(td: TestData) -> DataFrame:
+        if fn.__name__ not in td.memo:
+            td.memo[fn.__name__] = fn(td)
+        return td.memo[fn.__name__]
+    return wrapper
+
+
+@_memo
 def _mart(td: TestData) -> DataFrame:
     return marts.sales_mart(td.sales_fact(), td.products())
 
 
+@_memo
 def _cube(td: TestData) -> DataFrame:
     return marts.monthly_cube(_mart(td))
 
 
+@_memo
 def _cmart(td: TestData) -> DataFrame:
     return marts.collections_mart(receivables.collection_delay(td.collections()),
                                   td.order_channel_lookup())
 
 
+@_memo
 def _charges_m(td: TestData) -> DataFrame:
     return drift.charges_monthly(td.charges())
 
 
+@_memo
 def _budget(td: TestData) -> DataFrame:
     y = PARAMS["year"]
     return planning.budget_union(planning.budget_revenue(_mart(td), y),
                                  planning.budget_expense(_charges_m(td), y, PARAMS["marketing_cc"]))
 
 
+@_memo
 def _cells(td: TestData) -> DataFrame:
     return variance.resolve_budget(_budget(td), PARAMS["year"])
 
 
-def _dso(spark: SparkSession, td: TestData) -> DataFrame:
-    return receivables.dso_report(_cmart(td), receivables.alert_rules(spark, PARAMS["dso_rules"]))
+@_memo
+def _dso(td: TestData) -> DataFrame:
+    return receivables.dso_report(_cmart(td), receivables.alert_rules(td.spark, PARAMS["dso_rules"]))
+
+
+_ACCESSORS: dict[tuple[int, str], TestData] = {}
 
 
 def _td(spark: SparkSession, sf_dir: str) -> TestData:
-    return TestData(spark, sf_dir)
+    """One accessor per (session, folder): readers and shared plans are built once."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    td = _ACCESSORS.get(key)
+    if td is None or td.spark is not spark:
+        td = _ACCESSORS[key] = TestData(spark, sf_dir)
+    return td
 
 
 # --------------------------------------------------------------------------
@@ -266,22 +291,22 @@ def q_dso_trend(spark, sf_dir):
 
 @query("dso_moving_avg")
 def q_dso_moving_avg(spark, sf_dir):
-    return _dso(spark, _td(spark, sf_dir)).select("ym", "ch", "dso_days", "dso_avg3")
+    return _dso(_td(spark, sf_dir)).select("ym", "ch", "dso_days", "dso_avg3")
 
 
 @query("dso_mom")
 def q_dso_mom(spark, sf_dir):
-    return _dso(spark, _td(spark, sf_dir)).select("ym", "ch", "dso_days", "mom")
+    return _dso(_td(spark, sf_dir)).select("ym", "ch", "dso_days", "mom")
 
 
 @query("dso_yoy")
 def q_dso_yoy(spark, sf_dir):
-    return _dso(spark, _td(spark, sf_dir)).select("ym", "ch", "dso_days", "yoy")
+    return _dso(_td(spark, sf_dir)).select("ym", "ch", "dso_days", "yoy")
 
 
 @query("dso_alerts")
 def q_dso_alerts(spark, sf_dir):
-    return _dso(spark, _td(spark, sf_dir)).select("ym", "ch", "dso_days", "alert")
+    return _dso(_td(spark, sf_dir)).select("ym", "ch", "dso_days", "alert")
 
 
 @query("dso_channel_check")
@@ -464,7 +489,7 @@ def q_margin_drift(spark, sf_dir):
 
 @query("working_capital_impact")
 def q_working_capital_impact(spark, sf_dir):
-    return receivables.working_capital_impact(_dso(spark, _td(spark, sf_dir)))
+    return receivables.working_capital_impact(_dso(_td(spark, sf_dir)))
 
 
 @query("pnl_operating")

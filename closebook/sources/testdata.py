@@ -32,16 +32,25 @@ LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extended
 
 
 class TestData:
-    """Lazy accessor for ``{base}/{table}.parquet``."""
+    """Lazy accessor for ``{base}/{table}.parquet``.
+
+    Each table's reader (file listing + footer schema) is created once per
+    accessor and reused; the DataFrames stay lazy, so every query still
+    scans the files when it runs.
+    """
 
     __test__ = False  # not a pytest class
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
+        self.memo: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.base}/{name}.parquet")
+        return self._tables[name]
 
     # -- dimensions ---------------------------------------------------------
     def products(self) -> DataFrame:
