@@ -7,7 +7,7 @@ S4 ``table_row_counts`` one row per table
 S5 ``write_csv``      semicolon CSV sink
 
 The ``*_view`` adapters rename the star columns to the canonical columns the
-operators work on (see ``closebook.sources.columns``).
+operators work on (listed in ``closebook.sources``).
 """
 
 from __future__ import annotations
@@ -145,3 +145,12 @@ def budget_view(t: dict[str, DataFrame]) -> DataFrame:
              .select(F.col("annee").alias("yr"), F.col("mois").alias("mo"), "type", "ch", "cat",
                      "cc_id", F.col("montant_budget").alias("amount"),
                      F.col("marge_budget_pc").alias("margin_pc")))
+
+
+def purchases_view(t: dict[str, DataFrame]) -> DataFrame:
+    return t["fact_achats"].select(
+        year_month("date_facture").alias("ym"), "sku",
+        F.col("quantite").cast("long").alias("qty"),
+        F.col("montant_marchandises_ht").alias("goods"),
+        F.col("montant_transport_ht").alias("freight"),
+        F.col("montant_total_ht").alias("total"))
