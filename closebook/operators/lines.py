@@ -10,13 +10,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from closebook.functions.numeric import dec, money, msum
+from closebook.functions.numeric import dec, money
 from closebook.session import checkpoint_dir
 
 
+def _prefix(df: DataFrame, part: list[str], order: str, total: str, target: Column) -> DataFrame:
+    """Add the exact total of the earlier pieces of each ``part`` and the
+    piece class: entirely kept (running total stays below the target),
+    crossing (holds the first line that reaches it) or entirely dropped."""
+    w = Window.partitionBy(*part).orderBy(order)
+    before = F.coalesce(F.sum(total).over(w.rowsBetween(Window.unboundedPreceding, -1)), dec(0))
+    d = df.select("*", before.alias("_before"), target.alias("_target"))
+    full = F.col("_before") + F.col(total) < F.col("_target")
+    crossing = (F.col("_before") < F.col("_target")) & ~full
+    return d.withColumn("_class", F.when(full, F.lit("full"))
+                        .when(crossing, F.lit("crossing")).otherwise(F.lit("after")))
+
+
 def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
                    share: float | None = None, target: float | None = None,
-                   bucket_width: int = 1024) -> DataFrame:
+                   bucket_width: int = 1024, partitions: int | None = None) -> DataFrame:
     """Per group, keep lines in ``order`` until the running total reaches
     the target (a fixed ``target``, or ``share`` x group total), the crossing
     line included.
@@ -24,45 +37,64 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
     A line is kept when the sum of the values *before* it is below the
     target. Values must be non-negative (monotone running total); they are
     summed exactly (DECIMAL), so the cut does not depend on partitioning.
+    ``order`` must be a total order (unique per group); ``order[0]`` numeric.
 
-    Two levels, so that no group is sorted as a whole:
-      1. bucket = floor(order[0] / bucket_width); per (group, bucket) totals
-         are a partial + final aggregate; a window over the bucket table
-         (one row per bucket) gives each bucket the total before it.
-      2. buckets entirely before the target are kept from the bucket table;
-         buckets entirely after are dropped; only the one crossing bucket of
-         each group is numbered row by row (window partitioned by group and
-         bucket).
+    No group is ever sorted as a whole and no task receives a whole group:
+      1. key-range buckets, floor(order[0] / bucket_width): per (group, bucket)
+         totals come from a partial + final aggregate; a window over that small
+         table classifies buckets as kept, crossing or dropped. Kept buckets
+         count from the table, dropped ones are never touched again.
+      2. only the crossing bucket of each group goes on: its lines are
+         range-partitioned on (group, order). Range bounds come from a sample
+         of the full unique order, so even one hot key is split across tasks.
+         The tagged lines are checkpointed (every use sees the same
+         partitions), partition totals classify the partitions the same way,
+         and only the one crossing partition per group is numbered row by row.
     Output: (group, kept_rows, kept_value, target).
     """
-    b = lines.select(group, *order, money(value).alias(value),
-                     F.floor(F.col(order[0]) / F.lit(bucket_width)).alias("_b"))
-    bt = b.groupBy(group, "_b").agg(F.sum(value).alias("_bt"), F.count(F.lit(1)).alias("_bn"))
-    w = Window.partitionBy(group).orderBy("_b")
-    bt = bt.select("*",
-                   F.coalesce(F.sum("_bt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                              dec(0)).alias("_before"),
-                   (dec(target) if target is not None else
-                    F.sum("_bt").over(Window.partitionBy(group)) * dec(share)).alias("_target"))
-    full = F.col("_before") + F.col("_bt") < F.col("_target")
-    crossing = (F.col("_before") < F.col("_target")) & ~full
-    whole = (bt.groupBy(group)
-             .agg(F.sum(F.when(full, F.col("_bn")).otherwise(F.lit(0))).alias("_rows"),
-                  F.sum(F.when(full, F.col("_bt")).otherwise(dec(0))).alias("_val"),
-                  F.max("_target").alias("target")))
-    cross = bt.filter(crossing).select(group, "_b", "_before", "_target")
-    rows = b.join(cross, [group, "_b"], "inner")
-    wr = (Window.partitionBy(group, "_b").orderBy(*order)
+    spark = lines.sparkSession
+    v = money(value).alias(value)
+    b = lines.select(group, *order, v, F.floor(F.col(order[0]) / F.lit(bucket_width)).alias("_b"))
+    bt = b.groupBy(group, "_b").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"))
+    tgt = (dec(target) if target is not None
+           else F.sum("_t").over(Window.partitionBy(group)) * dec(share))
+    bt = _prefix(bt, [group], "_b", "_t", tgt)
+
+    def kept(df: DataFrame, cls: str, rows_col: str, val_col: str) -> DataFrame:
+        return (df.filter(F.col("_class") == cls).groupBy(group)
+                  .agg(F.sum(rows_col).alias("_rows"), F.sum(val_col).alias("_val")))
+
+    whole = bt.groupBy(group).agg(F.max("_target").alias("target"))
+    level1 = kept(bt, "full", "_n", "_t")
+
+    cross_b = bt.filter(F.col("_class") == "crossing").select(group, "_b", "_before", "_target")
+    checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = (b.join(cross_b, [group, "_b"], "inner")
+             .repartitionByRange(n, group, *order)
+             .withColumn("_p", F.spark_partition_id())
+             .checkpoint(eager=True))
+    pt = (rows.groupBy(group, "_p")
+              .agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"),
+                   F.first("_before").alias("_b0"), F.first("_target").alias("_tg")))
+    pt = _prefix(pt.withColumn("_t0", F.col("_t")), [group], "_p", "_t",
+                 F.col("_tg") - F.col("_b0"))
+    level2 = kept(pt, "full", "_n", "_t")
+
+    cross_p = pt.filter(F.col("_class") == "crossing").select(
+        group, "_p", (F.col("_b0") + F.col("_before")).alias("_off"))
+    wr = (Window.partitionBy(group, "_p").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, -1))
-    run = F.col("_before") + F.coalesce(F.sum(value).over(wr), dec(0))
-    part = (rows.withColumn("_keep", run < F.col("_target")).filter("_keep")
-                .groupBy(group).agg(F.count(F.lit(1)).alias("_crows"),
-                                    F.sum(value).alias("_cval")))
-    res = whole.join(part, group, "left")
-    return res.select(group,
-                      (F.col("_rows") + F.coalesce(F.col("_crows"), F.lit(0))).cast("long").alias("kept_rows"),
-                      (F.col("_val") + F.coalesce(F.col("_cval"), dec(0))).alias("kept_value"),
-                      "target")
+    run = F.col("_off") + F.coalesce(F.sum(value).over(wr), dec(0))
+    level3 = (rows.drop("_before").join(cross_p, [group, "_p"], "inner")
+                  .withColumn("_run", run).filter(F.col("_run") < F.col("_target"))
+                  .groupBy(group).agg(F.count(F.lit(1)).alias("_rows"), F.sum(value).alias("_val")))
+
+    parts = level1.unionByName(level2).unionByName(level3)
+    agg = parts.groupBy(group).agg(F.sum("_rows").alias("_rows"), F.sum("_val").alias("_val"))
+    res = whole.join(agg, group, "left")
+    return res.select(group, F.coalesce(F.col("_rows"), F.lit(0)).cast("long").alias("kept_rows"),
+                      F.coalesce(F.col("_val"), dec(0)).alias("kept_value"), "target")
 
 
 def surrogate_keys(df: DataFrame, key: str, fmt: str, partitions: int | None = None) -> DataFrame:

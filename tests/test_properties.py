@@ -103,3 +103,16 @@ def test_surrogate_keys_match_row_number(spark, keys, parts):
     df = spark.createDataFrame([(k,) for k in keys], "k long")
     got = dict(rows(lines.surrogate_keys(df, "k", "%d", partitions=parts)))
     assert got == {k: str(i + 1) for i, k in enumerate(sorted(keys))}
+
+
+def test_cutoff_with_one_hot_key(spark):
+    # one order key carries 2,000 of 2,100 lines: the crossing bucket is split
+    # by range partitioning on the full (unique) order, not handled by one task
+    data = [("g", 7, i, float(1 + i % 5)) for i in range(2000)]
+    data += [("g", 1000 + i, 0, 2.0) for i in range(100)]
+    df = spark.createDataFrame(data, "g string, k0 long, k1 long, v double")
+    got = rows(lines.running_cutoff(df, "g", ["k0", "k1"], "v", share=0.5, bucket_width=50,
+                                    partitions=6), "kept_rows", "kept_value")
+    ordered = [v for *_, v in sorted(data, key=lambda r: (r[1], r[2]))]
+    n, s = _brute_cutoff(ordered, 0.5 * sum(ordered))
+    assert got == [(n, pytest.approx(s))] or (got[0][0] == n and float(got[0][1]) == pytest.approx(s))
