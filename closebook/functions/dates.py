@@ -44,3 +44,19 @@ def in_years(c: Column | str, first: int, last: int | None = None) -> Column:
     last = first if last is None else last
     return ((c >= F.lit(f"{first:04d}-01-01").cast("date"))
             & (c < F.lit(f"{last + 1:04d}-01-01").cast("date")))
+
+
+def month_key(c: Column | str) -> Column:
+    """First day of the month as a DATE: a cheap grouping key (integer truncation).
+
+    Aggregations group on it and format the 'yyyy-MM' label on the aggregated
+    rows only, instead of formatting a string for every line.
+    """
+    return F.trunc(as_date(c), "month")
+
+
+def month_parts(m: Column | str) -> list[Column]:
+    """(ym, yr, mo) derived from a month-start DATE column."""
+    m = F.col(m) if isinstance(m, str) else m
+    return [F.date_format(m, "yyyy-MM").alias("ym"), F.year(m).alias("yr"),
+            F.month(m).alias("mo")]

@@ -12,14 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.functions import constants as K
-from closebook.functions.dates import year_month
+from closebook.functions.dates import month_key
 from closebook.functions.numeric import dround, msum, pct, rnd, safe_div
 
 
 def charges_monthly(charges: DataFrame) -> DataFrame:
     """A1: SUM of charges by (month, cost centre, nature)."""
-    return (charges.withColumn("ym", year_month("charge_date"))
-                   .groupBy("ym", "cc_id", "nature").agg(msum("amount").alias("amount")))
+    agg = (charges.groupBy(month_key("charge_date").alias("_m"), "cc_id", "nature")
+                  .agg(msum("amount").alias("amount")))
+    return agg.select(F.date_format("_m", "yyyy-MM").alias("ym"), "cc_id", "nature", "amount")
 
 
 def trailing_baseline(df: DataFrame, keys: list[str], order: str, value: str,

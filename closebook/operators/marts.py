@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closebook.functions.dates import quarter_of, year_month, month_of, year_of
+from closebook.functions.dates import month_key, month_parts, month_of, quarter_of, year_month, year_of
 from closebook.functions.numeric import dround, msum, pct, rnd
 
 CUBE_KEYS = ["ym", "yr", "mo", "ch", "cat"]
@@ -50,13 +50,15 @@ def monthly_cube(mart: DataFrame) -> DataFrame:
 
     One shuffle; the partial HashAggregate collapses each task's lines to at
     most months x channels x categories rows before the exchange, so hot keys
-    never reach the shuffle as raw rows.
+    never reach the shuffle as raw rows. Lines are grouped on the month-start
+    date; the 'yyyy-MM' label is formatted on the aggregated rows only.
     """
-    return (mart.groupBy(*CUBE_KEYS)
-                .agg(F.sum("qty").alias("qty"), msum("revenue").alias("revenue"),
-                     msum("cost").alias("cost"))
-                .withColumn("margin", F.col("revenue") - F.col("cost"))
-                .withColumn("margin_pc", pct(F.col("margin"), F.col("revenue"), 2)))
+    agg = (mart.groupBy(month_key("order_date").alias("_m"), "ch", "cat")
+               .agg(F.sum("qty").alias("qty"), msum("revenue").alias("revenue"),
+                    msum("cost").alias("cost")))
+    return agg.select(*month_parts("_m"), "ch", "cat", "qty", "revenue", "cost",
+                      (F.col("revenue") - F.col("cost")).alias("margin"),
+                      pct(F.col("revenue") - F.col("cost"), F.col("revenue"), 2).alias("margin_pc"))
 
 
 def collections_mart(collections: DataFrame, order_lookup: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from closebook.functions.dates import in_years
+from closebook.functions.dates import in_years, month_key
 from closebook.functions.numeric import dround, millions, msum, pct, rnd, safe_div
 
 
@@ -45,9 +45,10 @@ def pnl_monthly(cube: DataFrame) -> DataFrame:
 
 def monthly_evolution(mart: DataFrame, year: int, channel: str | None = None) -> DataFrame:
     """P3 (and P7 with a channel): revenue and margin in millions, margin % per month."""
-    return (_slice(mart, year, channel).groupBy("ym")
+    return (_slice(mart, year, channel).groupBy(month_key("order_date").alias("_m"))
             .agg(msum("revenue").alias("revenue"), msum("margin").alias("margin"))
-            .select("ym", millions(F.col("revenue")).alias("revenue_m"),
+            .select(F.date_format("_m", "yyyy-MM").alias("ym"),
+                    millions(F.col("revenue")).alias("revenue_m"),
                     millions(F.col("margin")).alias("margin_m"),
                     pct(F.col("margin"), F.col("revenue"), 1).alias("margin_pc"))
             .orderBy("ym"))

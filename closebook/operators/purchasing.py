@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.functions import constants as K
+from closebook.functions.dates import month_key
 from closebook.functions.numeric import dec, dround, money, msum, rnd, safe_div
 
 
@@ -31,10 +32,11 @@ def price_scenario(mart: DataFrame, year: int, upmarket_cat: str,
             * F.when(sale, dec(K.PRICE_SALE)).otherwise(one))
     kept = ~(up & lost_pick)
     after = F.when(kept, money("revenue") * mult)
-    return (mart.groupBy("cat", "ym")
+    return (mart.groupBy("cat", month_key("order_date").alias("_m"))
             .agg(msum("revenue").alias("revenue_before"), F.sum(after).alias("revenue_after"),
                  F.count(F.when(kept, F.lit(1))).alias("lines_after"))
-            .select("cat", "ym", dround("revenue_before", 2).alias("revenue_before"),
+            .select("cat", F.date_format("_m", "yyyy-MM").alias("ym"),
+                    dround("revenue_before", 2).alias("revenue_before"),
                     dround("revenue_after", 2).alias("revenue_after"), "lines_after"))
 
 
@@ -47,7 +49,9 @@ def line_valuation(lines: DataFrame, unit_price: Column, unit_cost: Column, qty:
 
 def sku_monthly_demand(mart: DataFrame) -> DataFrame:
     """Quantity and cost sold per (month, SKU)."""
-    return mart.groupBy("ym", "sku").agg(F.sum("qty").alias("qty"), msum("cost").alias("cost"))
+    agg = (mart.groupBy(month_key("order_date").alias("_m"), "sku")
+               .agg(F.sum("qty").alias("qty"), msum("cost").alias("cost")))
+    return agg.select(F.date_format("_m", "yyyy-MM").alias("ym"), "sku", "qty", "cost")
 
 
 def purchase_costing(demand: DataFrame, products: DataFrame, year: int,

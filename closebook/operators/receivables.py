@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from closebook.functions import constants as K
+from closebook.functions.dates import month_key
 from closebook.functions.numeric import msum, rnd, thousands
 
 
@@ -23,12 +24,18 @@ def collection_delay(df: DataFrame, raw_delay: str = "raw_delay") -> DataFrame:
 
 
 def dso_monthly(cmart: DataFrame) -> DataFrame:
-    """Per (month, channel): invoices, DSO (avg delay, 1 dp), collected amount (k, 0 dp)."""
-    return (cmart.filter(F.col("ym").isNotNull()).groupBy("ym", "ch")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 rnd(F.avg("delay_days"), 1).alias("dso_days"),
-                 thousands(msum("amount"), 0).alias("collected_k"),
-                 msum("amount").alias("amount")))
+    """Per (month, channel): invoices, DSO (avg delay, 1 dp), collected amount (k, 0 dp).
+
+    The month key is the order month ('yyyy-MM' of the order date, NULL dates
+    excluded); lines are grouped on the month-start date and labelled after.
+    """
+    agg = (cmart.filter(F.col("order_date").isNotNull())
+           .groupBy(month_key("order_date").alias("_m"), "ch")
+           .agg(F.count(F.lit(1)).alias("n"), F.avg("delay_days").alias("_d"),
+                msum("amount").alias("amount")))
+    return agg.select(F.date_format("_m", "yyyy-MM").alias("ym"), "ch", "n",
+                      rnd("_d", 1).alias("dso_days"),
+                      thousands(F.col("amount"), 0).alias("collected_k"), "amount")
 
 
 def _w(frame=None):
@@ -76,8 +83,11 @@ def dso_alerts(dso: DataFrame, rules: DataFrame) -> DataFrame:
 def dso_channel_check(cmart: DataFrame, channel: str, from_month: str,
                       threshold: float) -> DataFrame:
     """One channel from a month on (string compare on 'yyyy-MM'), breach marker."""
-    return (cmart.filter((F.col("ch") == F.lit(channel)) & (F.col("ym") >= F.lit(from_month)))
-            .groupBy("ym").agg(rnd(F.avg("delay_days"), 1).alias("dso_days"))
+    start = F.lit(f"{from_month}-01").cast("date")
+    return (cmart.filter((F.col("ch") == F.lit(channel)) & (F.col("order_date") >= start))
+            .groupBy(month_key("order_date").alias("_m"))
+            .agg(rnd(F.avg("delay_days"), 1).alias("dso_days"))
+            .select(F.date_format("_m", "yyyy-MM").alias("ym"), "dso_days")
             .withColumn("breach", F.col("dso_days") > F.lit(threshold))
             .orderBy("ym"))
 

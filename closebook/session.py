@@ -18,6 +18,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     * Session time zone pinned to UTC: the testdata timestamps are
       ``timestamp_ntz`` and every month key must not move with the host zone.
     * UI off: batch jobs, no web server.
+    * ``shuffle_partitions`` ~ cores locally; on a cluster size it to the data
+      (AQE then coalesces towards ``advisoryPartitionSizeInBytes``).
     """
     spark = (
         SparkSession.builder.master(master)
@@ -26,6 +28,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # AQE merges shuffle partitions below this size; the default (1 MB)
+        # collapses small shuffles onto 1-2 tasks. Partitions of a large
+        # input are far bigger, so this only keeps small inputs parallel.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("CLOSEBOOK_DRIVER_MEMORY", "8g"))

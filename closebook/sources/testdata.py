@@ -103,9 +103,10 @@ class TestData:
     def charges(self) -> DataFrame:
         l = self.table("lineitem").select("l_suppkey", "l_shipdate", "l_returnflag",
                                           "l_extendedprice", "l_tax")
-        s = self.table("supplier").select("s_suppkey", "s_nationkey")
+        # the cost-centre code is formatted once per supplier, not once per line
+        s = self.table("supplier").select(
+            "s_suppkey", F.format_string("CC%02d", F.col("s_nationkey")).alias("cc_id"))
         return (l.join(s, l.l_suppkey == s.s_suppkey, "left")
-                 .select(as_date("l_shipdate").alias("charge_date"),
-                         F.format_string("CC%02d", F.col("s_nationkey")).alias("cc_id"),
+                 .select(as_date("l_shipdate").alias("charge_date"), "cc_id",
                          F.col("l_returnflag").alias("nature"),
                          (F.col("l_extendedprice") * F.col("l_tax")).alias("amount")))
