@@ -7,6 +7,8 @@ its offset, and only then are rows numbered or summed inside a bucket.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ def _prefix(df: DataFrame, part: list[str], order: str, total: str, target: Colu
 
 def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
                    share: float | None = None, target: float | None = None,
-                   bucket_width: int = 1024, partitions: int | None = None) -> DataFrame:
+                   bucket_width: int = 1024, row_cap: int = 2_000_000,
+                   partitions: int | None = None) -> DataFrame:
     """Per group, keep lines in ``order`` until the running total reaches
     the target (a fixed ``target``, or ``share`` x group total), the crossing
     line included.
@@ -42,56 +45,63 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
     No group is ever sorted as a whole and no task receives a whole group:
       1. key-range buckets, floor(order[0] / bucket_width): per (group, bucket)
          totals come from a partial + final aggregate; a window over that small
-         table classifies buckets as kept, crossing or dropped. Kept buckets
-         count from the table, dropped ones are never touched again.
-      2. only the crossing bucket of each group goes on: its lines are
-         range-partitioned on (group, order). Range bounds come from a sample
-         of the full unique order, so even one hot key is split across tasks.
-         The tagged lines are checkpointed (every use sees the same
-         partitions), partition totals classify the partitions the same way,
-         and only the one crossing partition per group is numbered row by row.
+         table classifies buckets as kept, crossing or dropped. The table is
+         checkpointed (small) so every later use sees the same classes. Kept
+         buckets count from it; dropped ones are never touched again.
+      2. only the crossing bucket of each group goes on. If the largest one
+         holds at most ``row_cap`` lines it is numbered row by row directly
+         (a window per group and bucket). Otherwise a hot key filled it: its
+         lines are range-partitioned on (group, order) - bounds sampled from
+         the full unique order, so even one key is split across tasks -,
+         checkpointed, partition totals classify the partitions the same way,
+         and only the one crossing partition per group is numbered.
     Output: (group, kept_rows, kept_value, target).
     """
     spark = lines.sparkSession
+    checkpoint_dir(spark)
     v = money(value).alias(value)
     b = lines.select(group, *order, v, F.floor(F.col(order[0]) / F.lit(bucket_width)).alias("_b"))
     bt = b.groupBy(group, "_b").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"))
     tgt = (dec(target) if target is not None
            else F.sum("_t").over(Window.partitionBy(group)) * dec(share))
-    bt = _prefix(bt, [group], "_b", "_t", tgt)
+    bt = _prefix(bt, [group], "_b", "_t", tgt).checkpoint(eager=True)
 
-    def kept(df: DataFrame, cls: str, rows_col: str, val_col: str) -> DataFrame:
-        return (df.filter(F.col("_class") == cls).groupBy(group)
+    def kept(df: DataFrame, rows_col: str, val_col: str) -> DataFrame:
+        return (df.filter(F.col("_class") == "full").groupBy(group)
                   .agg(F.sum(rows_col).alias("_rows"), F.sum(val_col).alias("_val")))
 
     whole = bt.groupBy(group).agg(F.max("_target").alias("target"))
-    level1 = kept(bt, "full", "_n", "_t")
-
-    cross_b = bt.filter(F.col("_class") == "crossing").select(group, "_b", "_before", "_target")
-    checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = (b.join(cross_b, [group, "_b"], "inner")
-             .repartitionByRange(n, group, *order)
-             .withColumn("_p", F.spark_partition_id())
-             .checkpoint(eager=True))
-    pt = (rows.groupBy(group, "_p")
-              .agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"),
-                   F.first("_before").alias("_b0"), F.first("_target").alias("_tg")))
-    pt = _prefix(pt.withColumn("_t0", F.col("_t")), [group], "_p", "_t",
-                 F.col("_tg") - F.col("_b0"))
-    level2 = kept(pt, "full", "_n", "_t")
-
-    cross_p = pt.filter(F.col("_class") == "crossing").select(
-        group, "_p", (F.col("_b0") + F.col("_before")).alias("_off"))
-    wr = (Window.partitionBy(group, "_p").orderBy(*order)
+    crossing = bt.filter(F.col("_class") == "crossing")
+    cross_b = crossing.select(group, "_b", "_before", "_target")
+    rows = b.join(cross_b, [group, "_b"], "inner")
+    largest = crossing.agg(F.max("_n")).first()[0] or 0
+
+    if largest <= row_cap:
+        piece, off = "_b", F.col("_before")
+        parts = [kept(bt, "_n", "_t")]
+    else:
+        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = (rows.repartitionByRange(n, group, *order)
+                    .withColumn("_p", F.spark_partition_id())
+                    .checkpoint(eager=True))
+        pt = (rows.groupBy(group, "_p")
+                  .agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"),
+                       F.first("_before").alias("_b0"), F.first("_target").alias("_tg")))
+        pt = _prefix(pt, [group], "_p", "_t", F.col("_tg") - F.col("_b0"))
+        cross_p = pt.filter(F.col("_class") == "crossing").select(
+            group, "_p", (F.col("_b0") + F.col("_before")).alias("_off"))
+        rows = rows.drop("_before").join(cross_p, [group, "_p"], "inner")
+        piece, off = "_p", F.col("_off")
+        parts = [kept(bt, "_n", "_t"), kept(pt, "_n", "_t")]
+
+    wr = (Window.partitionBy(group, piece).orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, -1))
-    run = F.col("_off") + F.coalesce(F.sum(value).over(wr), dec(0))
-    level3 = (rows.drop("_before").join(cross_p, [group, "_p"], "inner")
-                  .withColumn("_run", run).filter(F.col("_run") < F.col("_target"))
-                  .groupBy(group).agg(F.count(F.lit(1)).alias("_rows"), F.sum(value).alias("_val")))
-
-    parts = level1.unionByName(level2).unionByName(level3)
-    agg = parts.groupBy(group).agg(F.sum("_rows").alias("_rows"), F.sum("_val").alias("_val"))
+    run = off + F.coalesce(F.sum(value).over(wr), dec(0))
+    parts.append(rows.withColumn("_run", run).filter(F.col("_run") < F.col("_target"))
+                     .groupBy(group).agg(F.count(F.lit(1)).alias("_rows"),
+                                         F.sum(value).alias("_val")))
+    agg = reduce(DataFrame.unionByName, parts).groupBy(group).agg(
+        F.sum("_rows").alias("_rows"), F.sum("_val").alias("_val"))
     res = whole.join(agg, group, "left")
     return res.select(group, F.coalesce(F.col("_rows"), F.lit(0)).cast("long").alias("kept_rows"),
                       F.coalesce(F.col("_val"), dec(0)).alias("kept_value"), "target")
