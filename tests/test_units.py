@@ -111,7 +111,7 @@ def _dso_input(spark, values, ch="Web", months=None):
     months = months or [f"2024-{m:02d}" for m in range(1, len(values) + 1)]
     return spark.createDataFrame([(ym, ch, v) for ym, v in zip(months, values)],
                                  "ym string, ch string, delay_days double").withColumn(
-        "amount", F.lit(1.0)).withColumn("order_date", F.lit(None).cast("date"))
+        "amount", F.lit(1.0)).withColumn("order_date", F.to_date(F.concat("ym", F.lit("-15"))))
 
 
 def test_dso_moving_average_over_rounded_values(spark):
