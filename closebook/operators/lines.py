@@ -31,7 +31,7 @@ def _prefix(df: DataFrame, part: list[str], order: str, total: str, target: Colu
 
 def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
                    share: float | None = None, target: float | None = None,
-                   bucket_width: int = 1024, row_cap: int = 2_000_000,
+                   bucket_width: int = 2 ** 20, row_cap: int = 2_000_000,
                    partitions: int | None = None) -> DataFrame:
     """Per group, keep lines in ``order`` until the running total reaches
     the target (a fixed ``target``, or ``share`` x group total), the crossing
@@ -43,7 +43,9 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
     ``order`` must be a total order (unique per group); ``order[0]`` numeric.
 
     No group is ever sorted as a whole and no task receives a whole group:
-      1. key-range buckets, floor(order[0] / bucket_width): per (group, bucket)
+      1. key-range buckets, floor(order[0] / bucket_width) (choose the width
+         near key range / 1e5: a group then has at most ~1e5 bucket rows, the
+         only rows its first window sorts): per (group, bucket)
          totals come from a partial + final aggregate; a window over that small
          table classifies buckets as kept, crossing or dropped. The table is
          checkpointed (small) so every later use sees the same classes. Kept

@@ -34,7 +34,7 @@ PARAMS = {
     "markdown": ("MEDIUM", "Brand#13"),
     "overstock": ("STANDARD", "Brand#11"),
     "cutoff_share": 0.5,
-    "cutoff_bucket": 1024,
+    "cutoff_bucket": 2 ** 20,           # ~ key range / 1e5: bounds the bucket rows per group
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
