@@ -46,8 +46,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is used as is. Only
-    when it is unset (local tests) a scratch folder is created and registered.
+    On a cluster the setting points at shared storage and is used as is (an
+    unset setting on a cluster is an error, never a machine-local folder).
+    Only a local master without the setting (tests) gets a scratch folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -57,6 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(checkpoints must survive executor loss)")
     local = tempfile.mkdtemp(prefix="closebook-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
