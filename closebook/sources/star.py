@@ -1,7 +1,8 @@
 """Star-schema sources and sinks (semicolon CSV with header, UTF-8).
 
 S1 ``read_star``      typed read of the twelve CSV tables
-S2 ``write_star``     idempotent persist (overwrite), facts partitioned by month
+S2 ``write_star``     idempotent persist (overwrite), facts partitioned by month;
+   ``save_star_tables`` catalog tables with facts bucketed on the order id
 S3 ``check_inputs``   missing input -> error before anything is read
 S4 ``table_row_counts`` one row per table
 S5 ``write_csv``      semicolon CSV sink
@@ -69,6 +70,24 @@ def write_star(tables: dict[str, DataFrame], base: str, fmt: str = "parquet") ->
         writer.mode("overwrite").format(fmt).save(f"{base.rstrip('/')}/{name}")
 
 
+def save_star_tables(tables: dict[str, DataFrame], database: str, location: str | None = None,
+                     buckets: int = 64, bucket_keys: dict[str, str] | None = None) -> None:
+    """S2 variant for repeated reporting: catalog tables, facts bucketed and sorted
+    on their order id so the collections -> sales join (M3) reads both sides
+    co-partitioned (no exchange); small dimensions are plain tables.
+    ``buckets`` should give ~128-512 MB files per bucket at the target size.
+    """
+    keys = bucket_keys or {"fact_ventes": "commande_id", "fact_encaissements": "commande_id"}
+    spark = next(iter(tables.values())).sparkSession
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
+    for name, df in tables.items():
+        w = df.write.mode("overwrite").format("parquet")
+        if name in keys:
+            w = w.bucketBy(buckets, keys[name]).sortBy(keys[name])
+        w.saveAsTable(f"{database}.{name}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Semicolon CSV with header, UTF-8, overwrite."""
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
@@ -112,9 +131,14 @@ def collections_view(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def order_channel_view(t: dict[str, DataFrame]) -> DataFrame:
-    """Collections find their channel through the sale line (commande_id -> canal)."""
+    """Collections find their channel through the sale line (commande_id -> canal).
+
+    The channel dimension is a handful of rows by construction, so it is
+    broadcast: the sales side keeps its own partitioning (bucketed on the
+    order id when persisted with ``save_star_tables``) into the M3 join.
+    """
     return (t["fact_ventes"].select(F.col("commande_id").alias("order_id"), "canal_id")
-            .join(t["dim_canal"].select("canal_id", "canal"), "canal_id", "left")
+            .join(F.broadcast(t["dim_canal"].select("canal_id", "canal")), "canal_id", "left")
             .select("order_id", F.col("canal").alias("ch")))
 
 

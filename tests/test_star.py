@@ -124,3 +124,22 @@ def test_budget_on_star_labels(tables, mart):
     assert v.filter(F.col("budget_revenue").isNull()).count() == 0
     statuses = {r[0] for r in rows(v, "status")}
     assert statuses <= set(K.STATUS_LABELS.values())
+
+
+def test_bucketed_star_joins_without_exchange(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    db = "closebook_" + os.path.basename(tempfile.mkdtemp()).replace("tmp", "").lower()
+    try:
+        names = ("dim_canal", "fact_ventes", "fact_encaissements")
+        star.save_star_tables({k: tables[k] for k in names}, db,
+                              location=tempfile.mkdtemp(prefix="closebook-db-"), buckets=4)
+        t = {k: spark.table(f"{db}.{k}") for k in names}
+        cm = marts.collections_mart(star.collections_view(t), star.order_channel_view(t))
+        plan = spark._jvm.PythonSQLUtils.explainString(cm._jdf.queryExecution(), "formatted")
+        smj = plan.split("\n(")[0]
+        assert "SortMergeJoin" in smj, plan
+        # both sides read co-bucketed on the order id: no shuffle, only the tiny dim broadcast
+        assert "Exchange" not in smj.replace("BroadcastExchange", ""), plan
+        assert cm.count() == tables["fact_encaissements"].count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
