@@ -107,6 +107,7 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def sales_fact_view(t: dict[str, DataFrame]) -> DataFrame:
     return t["fact_ventes"].select(
         F.col("commande_id").alias("order_id"), F.col("date_cmd").alias("order_date"),
+        "client_id", F.col("prix_unit_ht").alias("unit_price"),
         "sku", F.col("canal_id").alias("channel_id"),
         F.col("quantite").cast("double").alias("qty"),
         F.col("ca_ht").alias("revenue"), F.col("cout_achat_ht").alias("cost"))

@@ -143,3 +143,29 @@ def test_bucketed_star_joins_without_exchange(spark, tables):
         assert cm.count() == tables["fact_encaissements"].count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_sql_surface_over_views(spark, tables):
+    from closebook.operators import pnl
+    from closebook.plans.views import register_star_views
+    names = register_star_views(spark, tables, 2025)
+    assert {"v_ventes", "v_pnl_mensuel", "v_encaissements", "v_dashboard_kpis"} <= set(names)
+    # an analyst query written against the views, run by Spark SQL
+    sql = spark.sql("""
+        WITH base AS (
+          SELECT annee_mois, canal, categorie, SUM(ca_ht) AS ca, SUM(marge_brute_ht) AS marge
+          FROM v_ventes GROUP BY annee_mois, canal, categorie)
+        SELECT annee_mois, canal, categorie, ROUND(ca, 0) AS ca,
+               ROUND(ca / SUM(ca) OVER (PARTITION BY annee_mois) * 100, 1) AS mix
+        FROM base""")
+    m = marts.sales_mart(star.sales_fact_view(tables), star.products_view(tables),
+                         star.channels_view(tables))
+    ref = {(r[0], r[1], r[2]): (r[3], r[4]) for r in rows(pnl.pnl_monthly(marts.monthly_cube(m)),
+                                                          "ym", "ch", "cat", "revenue", "mix_share_pc")}
+    got = {(r[0], r[1], r[2]): (r[3], r[4]) for r in rows(sql)}
+    assert got.keys() == ref.keys()
+    assert all(abs(got[k][0] - ref[k][0]) <= 1 and abs(got[k][1] - ref[k][1]) <= 0.1 for k in ref)
+    assert spark.sql("SELECT COUNT(*) FROM v_encaissements WHERE canal IS NULL").first()[0] == 0
+    dash = spark.sql("SELECT COUNT(*) FROM v_dashboard_kpis WHERE annee = 2024 AND ca_budget IS NOT NULL")
+    assert dash.first()[0] == 0
+    assert spark.sql("SELECT COUNT(*) FROM v_pnl_mensuel").first()[0] == 24 * 3 * 4
