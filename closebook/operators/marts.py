@@ -17,7 +17,9 @@ def sales_mart(fact: DataFrame, products: DataFrame | None = None,
 
     Unknown SKUs / channels keep their line with NULL labels (left joins).
     Adds the month key, calendar parts, gross margin and margin rate (2 dp).
-    When the fact carries no cost, cost = qty * product unit cost.
+    When the fact carries no cost, cost = qty * product unit cost. A dimension
+    left out (``None``) is not joined at all: reports that need neither
+    category nor cost, or no channel, skip those joins.
     """
     df = fact
     if products is not None:
@@ -27,18 +29,21 @@ def sales_mart(fact: DataFrame, products: DataFrame | None = None,
         df = df.join(prod, "sku", "left")
     if channels is not None:
         df = df.join(channels, "channel_id", "left")
-    if "cost" not in df.columns:
+    if "cost" not in df.columns and "unit_cost" in df.columns:
         df = df.withColumn("cost", F.col("qty") * F.col("unit_cost"))
     keys = [c for c in fact.columns
             if c not in ("order_date", "sku", "channel_id", "ch", "qty", "revenue", "cost")]
-    margin = F.col("revenue") - F.col("cost")
+    labels = [c for c in ("cat", "collection", "ch") if c in df.columns]
+    money = [F.col("revenue")]
+    if "cost" in df.columns:
+        margin = F.col("revenue") - F.col("cost")
+        money += [F.col("cost"), margin.alias("margin"),
+                  pct(margin, F.col("revenue"), 2).alias("margin_pc")]
     return df.select(
         *keys, "order_date",
         year_month("order_date").alias("ym"), year_of("order_date").alias("yr"),
         month_of("order_date").alias("mo"), quarter_of("order_date").alias("qtr"),
-        "sku", "cat", "collection", "ch", "qty", "revenue", "cost",
-        margin.alias("margin"),
-        pct(margin, F.col("revenue"), 2).alias("margin_pc"))
+        "sku", *labels, "qty", *money)
 
 
 def monthly_cube(mart: DataFrame) -> DataFrame:

@@ -84,6 +84,24 @@ def _mart(td: TestData) -> DataFrame:
     return marts.sales_mart(td.sales_fact(), td.products())
 
 
+@_memo
+def _mart_no_channel(td: TestData) -> DataFrame:
+    """Mart for reports without a channel axis: no orders x customer join."""
+    return marts.sales_mart(td.sales_fact(with_channel=False), td.products())
+
+
+@_memo
+def _mart_no_product(td: TestData) -> DataFrame:
+    """Mart for revenue-by-channel reports: no part join (no category, no cost)."""
+    return marts.sales_mart(td.sales_fact())
+
+
+@_memo
+def _lines(td: TestData) -> DataFrame:
+    """Revenue lines with their order month only: lineitem x orders."""
+    return marts.sales_mart(td.sales_fact(with_channel=False))
+
+
 @_memo
 def _cube(td: TestData) -> DataFrame:
     return marts.monthly_cube(_mart(td))
@@ -182,28 +200,28 @@ def q_pnl_mix_share(spark, sf_dir):
 
 @query("monthly_evolution")
 def q_monthly_evolution(spark, sf_dir):
-    return _round(pnl.monthly_evolution(_mart(_td(spark, sf_dir)), PARAMS["year"]), 4,
+    return _round(pnl.monthly_evolution(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"]), 4,
                   "revenue_m", "margin_m")
 
 
 @query("category_split")
 def q_category_split(spark, sf_dir):
-    return _round(pnl.category_split(_mart(_td(spark, sf_dir)), PARAMS["year"]), 4, "revenue_m")
+    return _round(pnl.category_split(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"]), 4, "revenue_m")
 
 
 @query("headline_kpis")
 def q_headline_kpis(spark, sf_dir):
-    return pnl.headline_kpis(_mart(_td(spark, sf_dir)), PARAMS["year"])
+    return pnl.headline_kpis(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"])
 
 
 @query("filter_years")
 def q_filter_years(spark, sf_dir):
-    return pnl.filter_years(_mart(_td(spark, sf_dir)))
+    return pnl.filter_years(_lines(_td(spark, sf_dir)))
 
 
 @query("filter_channels")
 def q_filter_channels(spark, sf_dir):
-    return pnl.filter_channels(_mart(_td(spark, sf_dir)))
+    return pnl.filter_channels(_mart_no_product(_td(spark, sf_dir)))
 
 
 @query("pnl_channel_slice")
@@ -245,34 +263,34 @@ def q_budget_variance_monthly(spark, sf_dir):
 
 @query("pvm_yearly_base")
 def q_pvm_yearly_base(spark, sf_dir):
-    df = pvm.pvm_yearly_base(_mart(_td(spark, sf_dir)))
+    df = pvm.pvm_yearly_base(_mart_no_channel(_td(spark, sf_dir)))
     return _round(_round(df, 2, "revenue"), 4, "avg_price")
 
 
 @query("pvm_pivot")
 def q_pvm_pivot(spark, sf_dir):
-    df = pvm.pvm_pivot(_mart(_td(spark, sf_dir)), PARAMS["year"])
+    df = pvm.pvm_pivot(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"])
     return _round(_round(df, 2, "revenue_n", "revenue_1"), 4, "price_n", "price_1")
 
 
 @query("pvm_effects")
 def q_pvm_effects(spark, sf_dir):
-    return pvm.pvm_effects(_mart(_td(spark, sf_dir)), PARAMS["year"])
+    return pvm.pvm_effects(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"])
 
 
 @query("pvm_ratios")
 def q_pvm_ratios(spark, sf_dir):
-    return pvm.pvm_ratios(_mart(_td(spark, sf_dir)), PARAMS["year"])
+    return pvm.pvm_ratios(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"])
 
 
 @query("pvm_effects_m")
 def q_pvm_effects_m(spark, sf_dir):
-    return pvm.pvm_effects_m(_mart(_td(spark, sf_dir)), PARAMS["year"])
+    return pvm.pvm_effects_m(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"])
 
 
 @query("pvm_mix_by_sku")
 def q_pvm_mix_by_sku(spark, sf_dir):
-    return pvm.pvm_mix_by_sku(_mart(_td(spark, sf_dir)), PARAMS["year"])
+    return pvm.pvm_mix_by_sku(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"])
 
 
 # --------------------------------------------------------------------------
@@ -364,22 +382,22 @@ def q_charge_alerts_top15(spark, sf_dir):
 
 @query("control_by_year")
 def q_control_by_year(spark, sf_dir):
-    return controls.control_by_year(_mart(_td(spark, sf_dir)))
+    return controls.control_by_year(_mart_no_channel(_td(spark, sf_dir)))
 
 
 @query("control_channel_mix")
 def q_control_channel_mix(spark, sf_dir):
-    return controls.control_channel_mix(_mart(_td(spark, sf_dir)), PARAMS["year"])
+    return controls.control_channel_mix(_mart_no_product(_td(spark, sf_dir)), PARAMS["year"])
 
 
 @query("control_category_mix")
 def q_control_category_mix(spark, sf_dir):
-    return controls.control_category_mix(_mart(_td(spark, sf_dir)), PARAMS["year"])
+    return controls.control_category_mix(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"])
 
 
 @query("control_growth")
 def q_control_growth(spark, sf_dir):
-    return controls.control_growth(_mart(_td(spark, sf_dir)))
+    return controls.control_growth(_lines(_td(spark, sf_dir)))
 
 
 # --------------------------------------------------------------------------
@@ -396,12 +414,12 @@ def q_calendar_dim(spark, sf_dir):
 
 @query("seasonal_allocation")
 def q_seasonal_allocation(spark, sf_dir):
-    return planning.seasonal_allocation(planning.yearly_targets(_mart(_td(spark, sf_dir))))
+    return planning.seasonal_allocation(planning.yearly_targets(_lines(_td(spark, sf_dir))))
 
 
 @query("running_cutoff")
 def q_running_cutoff(spark, sf_dir):
-    df = lines.running_cutoff(_mart(_td(spark, sf_dir)), "ym", LINE_KEYS, "revenue",
+    df = lines.running_cutoff(_lines(_td(spark, sf_dir)), "ym", LINE_KEYS, "revenue",
                               share=PARAMS["cutoff_share"], bucket_width=PARAMS["cutoff_bucket"])
     return _round(df.withColumnRenamed("kept_value", "kept_revenue"), 2, "kept_revenue", "target")
 
@@ -409,7 +427,7 @@ def q_running_cutoff(spark, sf_dir):
 @query("price_scenario")
 def q_price_scenario(spark, sf_dir):
     return purchasing.price_scenario(
-        _mart(_td(spark, sf_dir)), PARAMS["year"], PARAMS["upmarket_cat"], PARAMS["markdown"],
+        _mart_no_channel(_td(spark, sf_dir)), PARAMS["year"], PARAMS["upmarket_cat"], PARAMS["markdown"],
         sale_pick=F.col("l_linenumber") <= 2, lost_pick=F.col("l_linenumber") == 3)
 
 
@@ -427,11 +445,11 @@ def q_line_valuation(spark, sf_dir):
 
 @query("sku_monthly_demand")
 def q_sku_monthly_demand(spark, sf_dir):
-    return _round(purchasing.sku_monthly_demand(_mart(_td(spark, sf_dir))), 2, "cost")
+    return _round(purchasing.sku_monthly_demand(_mart_no_channel(_td(spark, sf_dir))), 2, "cost")
 
 
 def _purchases(td: TestData) -> DataFrame:
-    return purchasing.purchase_costing(purchasing.sku_monthly_demand(_mart(td)), td.products(),
+    return purchasing.purchase_costing(purchasing.sku_monthly_demand(_mart_no_channel(td)), td.products(),
                                        PARAMS["year"], PARAMS["overstock"])
 
 

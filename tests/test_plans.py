@@ -49,3 +49,16 @@ def test_top_k_alerts_use_take_ordered(spark):
 def test_partial_aggregation_before_shuffle(spark):
     p = formatted(spark, "pnl_monthly_cube")
     assert "partial_sum" in p
+
+
+@pytest.mark.parametrize("key,absent", [
+    ("control_growth", ["customer.parquet", "part.parquet"]),
+    ("running_cutoff", ["customer.parquet", "part.parquet"]),
+    ("headline_kpis", ["customer.parquet"]),
+    ("pvm_effects", ["customer.parquet"]),
+    ("control_channel_mix", ["part.parquet"]),
+])
+def test_reports_join_only_the_dimensions_they_use(spark, key, absent):
+    p = formatted(spark, key)
+    for table in absent:
+        assert table not in p, (key, table)
