@@ -7,13 +7,14 @@ its offset, and only then are rows numbered or summed inside a bucket.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.functions.numeric import dec, money
-from closebook.session import checkpoint_dir
+from closebook.session import cut_lineage
 
 
 def _prefix(df: DataFrame, part: list[str], order: str, total: str, target: Column) -> DataFrame:
@@ -29,9 +30,22 @@ def _prefix(df: DataFrame, part: list[str], order: str, total: str, target: Colu
                         .when(crossing, F.lit("crossing")).otherwise(F.lit("after")))
 
 
+def bucket_width_for(lo, hi, n) -> int:
+    """Key-range bucket width ~ key range / sqrt(rows).
+
+    A group then has about sqrt(n) bucket rows (what its first window sorts)
+    and a bucket about sqrt(n) / groups lines (what a crossing bucket
+    numbers): both grow with the square root of the data, e.g. under 1e6 at
+    6e11 lines.
+    """
+    if lo is None or hi is None or not n:
+        return 1
+    return max(1, math.ceil((float(hi) - float(lo) + 1) / math.sqrt(n)))
+
+
 def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
                    share: float | None = None, target: float | None = None,
-                   bucket_width: int = 2 ** 20, row_cap: int = 2_000_000,
+                   bucket_width: int | None = None, row_cap: int = 2_000_000,
                    partitions: int | None = None) -> DataFrame:
     """Per group, keep lines in ``order`` until the running total reaches
     the target (a fixed ``target``, or ``share`` x group total), the crossing
@@ -43,9 +57,8 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
     ``order`` must be a total order (unique per group); ``order[0]`` numeric.
 
     No group is ever sorted as a whole and no task receives a whole group:
-      1. key-range buckets, floor(order[0] / bucket_width) (choose the width
-         near key range / 1e5: a group then has at most ~1e5 bucket rows, the
-         only rows its first window sorts): per (group, bucket)
+      1. key-range buckets, floor(order[0] / bucket_width) (default width from
+         ``bucket_width_for``, one scalar aggregate over the key): per (group, bucket)
          totals come from a partial + final aggregate; a window over that small
          table classifies buckets as kept, crossing or dropped. The table is
          checkpointed (small) so every later use sees the same classes. Kept
@@ -60,13 +73,15 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
     Output: (group, kept_rows, kept_value, target).
     """
     spark = lines.sparkSession
-    checkpoint_dir(spark)
+    if bucket_width is None:
+        bucket_width = bucket_width_for(*lines.agg(F.min(order[0]), F.max(order[0]),
+                                                   F.count(F.lit(1))).first())
     v = money(value).alias(value)
     b = lines.select(group, *order, v, F.floor(F.col(order[0]) / F.lit(bucket_width)).alias("_b"))
     bt = b.groupBy(group, "_b").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"))
     tgt = (dec(target) if target is not None
            else F.sum("_t").over(Window.partitionBy(group)) * dec(share))
-    bt = _prefix(bt, [group], "_b", "_t", tgt).checkpoint(eager=True)
+    bt = cut_lineage(_prefix(bt, [group], "_b", "_t", tgt))
 
     def kept(df: DataFrame, rows_col: str, val_col: str) -> DataFrame:
         return (df.filter(F.col("_class") == "full").groupBy(group)
@@ -83,9 +98,8 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
         parts = [kept(bt, "_n", "_t")]
     else:
         n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = (rows.repartitionByRange(n, group, *order)
-                    .withColumn("_p", F.spark_partition_id())
-                    .checkpoint(eager=True))
+        rows = cut_lineage(rows.repartitionByRange(n, group, *order)
+                               .withColumn("_p", F.spark_partition_id()))
         pt = (rows.groupBy(group, "_p")
                   .agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"),
                        F.first("_before").alias("_b0"), F.first("_target").alias("_tg")))
@@ -118,12 +132,11 @@ def surrogate_keys(df: DataFrame, key: str, fmt: str, partitions: int | None = N
     row per partition, a table bounded by the partition count - into offsets.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = (df.select(key).repartitionByRange(n, key).sortWithinPartitions(key)
            .select(key, F.spark_partition_id().alias("_p"),
                    F.monotonically_increasing_id().alias("_id")))
-    s = s.checkpoint(eager=True)
+    s = cut_lineage(s)
     counts = s.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
     before = F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("_p", "_first", F.coalesce(before, F.lit(0)).alias("_off"))

@@ -34,7 +34,6 @@ PARAMS = {
     "markdown": ("MEDIUM", "Brand#13"),
     "overstock": ("STANDARD", "Brand#11"),
     "cutoff_share": 0.5,
-    "cutoff_bucket": 2 ** 20,           # ~ key range / 1e5: bounds the bucket rows per group
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -419,8 +418,13 @@ def q_seasonal_allocation(spark, sf_dir):
 
 @query("running_cutoff")
 def q_running_cutoff(spark, sf_dir):
-    df = lines.running_cutoff(_lines(_td(spark, sf_dir)), "ym", LINE_KEYS, "revenue",
-                              share=PARAMS["cutoff_share"], bucket_width=PARAMS["cutoff_bucket"])
+    td = _td(spark, sf_dir)
+    # bucket width from the line table's own key range and size (one scalar
+    # aggregate over one column; the lines are exactly the lineitem rows)
+    stats = td.table("lineitem").agg(F.min("l_orderkey"), F.max("l_orderkey"),
+                                     F.count(F.lit(1))).first()
+    df = lines.running_cutoff(_lines(td), "ym", LINE_KEYS, "revenue", share=PARAMS["cutoff_share"],
+                              bucket_width=lines.bucket_width_for(*stats))
     return _round(df.withColumnRenamed("kept_value", "kept_revenue"), 2, "kept_revenue", "target")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -64,3 +65,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="closebook-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint into the shared checkpoint folder.
+
+    The data is persisted (memory, spilling to disk) while the checkpoint is
+    written, so it is computed once rather than once for the materialising
+    job and again for the checkpoint write; it is released afterwards and
+    every later use reads the checkpoint files.
+    """
+    checkpoint_dir(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

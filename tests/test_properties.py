@@ -117,3 +117,10 @@ def test_cutoff_with_one_hot_key(spark):
     ordered = [v for *_, v in sorted(data, key=lambda r: (r[1], r[2]))]
     n, s = _brute_cutoff(ordered, 0.5 * sum(ordered))
     assert got == [(n, pytest.approx(s))] or (got[0][0] == n and float(got[0][1]) == pytest.approx(s))
+
+
+def test_bucket_width_scales_with_sqrt_of_rows():
+    assert lines.bucket_width_for(0, 149_999, 600_000) == 194
+    w = lines.bucket_width_for(0, 6e11, 6e11)
+    assert 6e11 / w < 1e6  # bucket rows per group stay under a million at 6e11 lines
+    assert lines.bucket_width_for(None, None, 0) == 1
