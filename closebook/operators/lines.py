@@ -45,7 +45,7 @@ def bucket_width_for(lo, hi, n) -> int:
 
 def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
                    share: float | None = None, target: float | None = None,
-                   bucket_width: int | None = None, row_cap: int = 2_000_000,
+                   bucket_width: int | None = None, max_direct_rows: int = 2_000_000,
                    partitions: int | None = None) -> DataFrame:
     """Per group, keep lines in ``order`` until the running total reaches
     the target (a fixed ``target``, or ``share`` x group total), the crossing
@@ -64,12 +64,14 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
          checkpointed (small) so every later use sees the same classes. Kept
          buckets count from it; dropped ones are never touched again.
       2. only the crossing bucket of each group goes on. If the largest one
-         holds at most ``row_cap`` lines it is numbered row by row directly
+         holds at most ``max_direct_rows`` lines it is numbered row by row directly
          (a window per group and bucket). Otherwise a hot key filled it: its
          lines are range-partitioned on (group, order) - bounds sampled from
          the full unique order, so even one key is split across tasks -,
          checkpointed, partition totals classify the partitions the same way,
          and only the one crossing partition per group is numbered.
+    ``max_direct_rows`` only chooses between the two ways of numbering the
+    crossing bucket; every line is always accounted for.
     Output: (group, kept_rows, kept_value, target).
     """
     spark = lines.sparkSession
@@ -93,7 +95,7 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
     rows = b.join(cross_b, [group, "_b"], "inner")
     largest = crossing.agg(F.max("_n")).first()[0] or 0
 
-    if largest <= row_cap:
+    if largest <= max_direct_rows:
         piece, off = "_b", F.col("_before")
         parts = [kept(bt, "_n", "_t")]
     else:

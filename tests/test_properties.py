@@ -91,7 +91,7 @@ def test_cutoff_matches_brute_force(spark, vals, share, width, cap):
     data = [("g", k, float(v)) for k, v in zip(keys, vals)]
     df = spark.createDataFrame(data, "g string, k long, v double")
     got = rows(lines.running_cutoff(df, "g", ["k"], "v", share=share, bucket_width=width,
-                                    row_cap=cap, partitions=3), "kept_rows", "kept_value")
+                                    max_direct_rows=cap, partitions=3), "kept_rows", "kept_value")
     ordered = [v for _, v in sorted(zip(keys, vals))]
     n, s = _brute_cutoff([float(v) for v in ordered], share * sum(vals))
     assert got[0][0] == n and float(got[0][1]) == pytest.approx(s)
@@ -113,7 +113,7 @@ def test_cutoff_with_one_hot_key(spark):
     data += [("g", 1000 + i, 0, 2.0) for i in range(100)]
     df = spark.createDataFrame(data, "g string, k0 long, k1 long, v double")
     got = rows(lines.running_cutoff(df, "g", ["k0", "k1"], "v", share=0.5, bucket_width=50,
-                                    row_cap=100, partitions=6), "kept_rows", "kept_value")
+                                    max_direct_rows=100, partitions=6), "kept_rows", "kept_value")
     ordered = [v for *_, v in sorted(data, key=lambda r: (r[1], r[2]))]
     n, s = _brute_cutoff(ordered, 0.5 * sum(ordered))
     assert got == [(n, pytest.approx(s))] or (got[0][0] == n and float(got[0][1]) == pytest.approx(s))
