@@ -1,8 +1,9 @@
 """Line-level sequence operators: running-total cutoff (G3) and surrogate keys.
 
-Both need an order over raw lines. Neither uses a global window: work is
-split into key-range buckets whose totals (a small table) give each bucket
-its offset, and only then are rows numbered or summed inside a bucket.
+Both need an order over raw lines, and neither sorts the lines in one task:
+lines are split into key ranges (buckets or range partitions) whose totals
+(a small table, the only thing windowed as a whole) give each range its
+offset, and only then are rows numbered or summed inside a range.
 """
 
 from __future__ import annotations
