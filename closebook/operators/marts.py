@@ -97,7 +97,8 @@ def kpi_mart(cube: DataFrame, budget: DataFrame, year: int) -> DataFrame:
         F.when(in_year, rnd("budget_revenue", 0)).alias("budget_revenue"),
         F.when(in_year, rnd("budget_margin", 0)).alias("budget_margin"),
         F.when(in_year, rnd(var, 0)).alias("var_revenue"),
-        F.when(in_year, pct(var, F.col("budget_revenue"), 1)).alias("var_pc"))
+        F.when(in_year, pct(var, F.col("budget_revenue"), 1)).alias("var_pc")
+    ).orderBy(*[F.col(c).asc_nulls_last() for c in ["ym", "ch", "cat"]])
 
 
 def kpi_mart_preview(kpi: DataFrame, n: int = 10) -> DataFrame:

@@ -58,7 +58,7 @@ def dso_report(cmart: DataFrame, rules: DataFrame | None = None) -> DataFrame:
         rnd(F.col("dso_days") - F.lag("dso_days", 12).over(_w()), 1).alias("yoy"))
     if rules is not None:
         out = dso_alerts(out, rules)
-    return out
+    return out.orderBy(F.col("ch").asc_nulls_last(), "ym")
 
 
 def alert_rules(spark: SparkSession, rules=K.DSO_ALERT_RULES) -> DataFrame:
