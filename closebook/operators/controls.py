@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.functions.dates import in_years
-from closebook.functions.numeric import millions, msum, pct
+from closebook.functions.numeric import agg_exact, millions, pct
 
 
 def control_by_year(mart: DataFrame) -> DataFrame:
     """Q1: revenue and margin (millions, 2 dp) and margin % (1 dp) per year."""
-    return (mart.groupBy("yr")
-            .agg(msum("revenue").alias("revenue"), msum("margin").alias("margin"))
+    return (agg_exact(mart, ["yr"], revenue=("money", "revenue"), margin=("money", "margin"))
             .select("yr", millions(F.col("revenue"), 2).alias("revenue_m"),
                     millions(F.col("margin"), 2).alias("margin_m"),
                     pct(F.col("margin"), F.col("revenue"), 1).alias("margin_pc"))
@@ -25,8 +24,7 @@ def _mix(mart: DataFrame, year: int, axis: str) -> DataFrame:
     The reference divides by an uncorrelated scalar subquery; here the total
     is a window over the per-axis aggregate (a few rows), one scan of the fact.
     """
-    agg = (mart.filter(in_years("order_date", year)).groupBy(axis)
-           .agg(msum("revenue").alias("revenue")))
+    agg = agg_exact(mart.filter(in_years("order_date", year)), [axis], revenue=("money", "revenue"))
     total = F.sum("revenue").over(Window.partitionBy())
     return (agg.select(axis, millions(F.col("revenue"), 2).alias("revenue_m"),
                        pct(F.col("revenue"), total, 1).alias("share_pc"))
@@ -45,7 +43,7 @@ def control_category_mix(mart: DataFrame, year: int) -> DataFrame:
 
 def control_growth(mart: DataFrame) -> DataFrame:
     """Q4: yearly revenue and growth vs the previous year (window over the yearly aggregate)."""
-    agg = mart.groupBy("yr").agg(msum("revenue").alias("revenue"))
+    agg = agg_exact(mart, ["yr"], revenue=("money", "revenue"))
     prev = F.lag("revenue").over(Window.orderBy("yr"))
     return (agg.select("yr", millions(F.col("revenue"), 2).alias("revenue_m"),
                        pct(F.col("revenue") - prev, prev, 1).alias("growth_pc"))

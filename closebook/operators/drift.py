@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from closebook.functions import constants as K
 from closebook.functions.dates import month_key
-from closebook.functions.numeric import dround, msum, pct, rnd, safe_div
+from closebook.functions.numeric import agg_exact, dround, pct, rnd, safe_div
 
 
 def charges_monthly(charges: DataFrame) -> DataFrame:
     """A1: SUM of charges by (month, cost centre, nature)."""
-    agg = (charges.groupBy(month_key("charge_date").alias("_m"), "cc_id", "nature")
-                  .agg(msum("amount").alias("amount")))
+    agg = agg_exact(charges, [month_key("charge_date").alias("_m"), "cc_id", "nature"],
+                    amount=("money", "amount"))
     return agg.select(F.date_format("_m", "yyyy-MM").alias("ym"), "cc_id", "nature", "amount")
 
 

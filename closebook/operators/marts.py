@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.functions.dates import month_key, month_parts, month_of, quarter_of, year_month, year_of
-from closebook.functions.numeric import dround, msum, pct, rnd
+from closebook.functions.numeric import agg_exact, dround, pct, rnd
 
 CUBE_KEYS = ["ym", "yr", "mo", "ch", "cat"]
 
@@ -53,14 +53,13 @@ def monthly_cube(mart: DataFrame) -> DataFrame:
     exact, the margin sum equals revenue sum - cost sum, so it is derived
     instead of aggregated a third time.
 
-    One shuffle; the partial HashAggregate collapses each task's lines to at
-    most months x channels x categories rows before the exchange, so hot keys
-    never reach the shuffle as raw rows. Lines are grouped on the month-start
+    Lines are collapsed per task (map-side) to at most months x channels x
+    categories rows before any exchange, so hot keys never reach a shuffle as
+    raw rows; money is summed with ``agg_exact``. Lines are grouped on the month-start
     date; the 'yyyy-MM' label is formatted on the aggregated rows only.
     """
-    agg = (mart.groupBy(month_key("order_date").alias("_m"), "ch", "cat")
-               .agg(F.sum("qty").alias("qty"), msum("revenue").alias("revenue"),
-                    msum("cost").alias("cost")))
+    agg = agg_exact(mart, [month_key("order_date").alias("_m"), "ch", "cat"],
+                    qty=("sum", "qty"), revenue=("money", "revenue"), cost=("money", "cost"))
     return agg.select(*month_parts("_m"), "ch", "cat", "qty", "revenue", "cost",
                       (F.col("revenue") - F.col("cost")).alias("margin"),
                       pct(F.col("revenue") - F.col("cost"), F.col("revenue"), 2).alias("margin_pc"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from closebook.functions import constants as K
 from closebook.functions.dates import in_years, year_month
-from closebook.functions.numeric import msum, rnd, safe_div
+from closebook.functions.numeric import agg_exact, rnd, safe_div
 
 BUDGET_COLUMNS = ["yr", "mo", "type", "ch", "cat", "cc_id", "amount", "margin_pc"]
 
@@ -64,7 +64,7 @@ def seasonal_allocation(targets: DataFrame) -> DataFrame:
 
 def yearly_targets(mart: DataFrame, growth: float = K.GROWTH_N) -> DataFrame:
     """Target of year y = actual revenue of y-1 x (1 + growth) (window over the yearly aggregate)."""
-    y = mart.groupBy("yr").agg(msum("revenue").alias("revenue"))
+    y = agg_exact(mart, ["yr"], revenue=("money", "revenue"))
     prev = F.lag("revenue").over(Window.orderBy("yr"))
     prev_yr = F.lag("yr").over(Window.orderBy("yr"))
     return (y.select("yr", (prev * F.lit(1.0 + growth)).alias("target"), prev_yr.alias("_py"))
@@ -80,10 +80,9 @@ def budget_revenue(mart: DataFrame, year: int, growth: float = K.GROWTH_N) -> Da
     Target, shares and margin rates come from the N-1 actuals; the cells are
     the (channel, category) pairs sold in N-1, each expanded into 12 months.
     """
-    base = (mart.filter(in_years("order_date", year - 1) & F.col("ch").isNotNull()
-                        & F.col("cat").isNotNull())
-            .groupBy("ch", "cat")
-            .agg(msum("revenue").alias("rev"), msum("margin").alias("mar")))
+    base = agg_exact(mart.filter(in_years("order_date", year - 1) & F.col("ch").isNotNull()
+                                 & F.col("cat").isNotNull()),
+                     ["ch", "cat"], rev=("money", "revenue"), mar=("money", "margin"))
     by_ch, by_cat, all_ = (Window.partitionBy("ch"), Window.partitionBy("cat"),
                            Window.partitionBy())
     total = F.sum("rev").over(all_)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebook.functions.dates import in_years, month_key
-from closebook.functions.numeric import dround, millions, msum, pct, rnd, safe_div
+from closebook.functions.numeric import agg_exact, dround, millions, msum, pct, rnd, safe_div
 
 
 def _slice(mart: DataFrame, year: int | None = None, channel: str | None = None) -> DataFrame:
@@ -45,8 +45,8 @@ def pnl_monthly(cube: DataFrame) -> DataFrame:
 
 def monthly_evolution(mart: DataFrame, year: int, channel: str | None = None) -> DataFrame:
     """P3 (and P7 with a channel): revenue and margin in millions, margin % per month."""
-    return (_slice(mart, year, channel).groupBy(month_key("order_date").alias("_m"))
-            .agg(msum("revenue").alias("revenue"), msum("margin").alias("margin"))
+    return (agg_exact(_slice(mart, year, channel), [month_key("order_date").alias("_m")],
+                      revenue=("money", "revenue"), margin=("money", "margin"))
             .select(F.date_format("_m", "yyyy-MM").alias("ym"),
                     millions(F.col("revenue")).alias("revenue_m"),
                     millions(F.col("margin")).alias("margin_m"),
@@ -65,8 +65,7 @@ def category_split(mart: DataFrame, year: int, channel: str | None = None) -> Da
     The share is a window over the post-aggregate rows (one per category), so
     the unpartitioned window sees only a handful of rows.
     """
-    agg = (_slice(mart, year, channel).groupBy("cat")
-           .agg(msum("revenue").alias("revenue")))
+    agg = agg_exact(_slice(mart, year, channel), ["cat"], revenue=("money", "revenue"))
     total = F.sum("revenue").over(Window.partitionBy())
     return (agg.select("cat", millions(F.col("revenue")).alias("revenue_m"),
                        pct(F.col("revenue"), total, 1).alias("share_pc"))
@@ -81,13 +80,14 @@ def headline_kpis(mart: DataFrame, year: int, channel: str | None = None) -> Dat
     df = _slice(mart, None, channel).filter(in_years("order_date", year - 1, year))
     cur = F.col("yr") == F.lit(year)
     prev = F.col("yr") == F.lit(year - 1)
-    agg = df.agg(
-        msum(F.when(cur, F.col("revenue"))).alias("revenue"),
-        msum(F.when(cur, F.col("cost"))).alias("cost"),
-        msum(F.when(cur, F.col("margin"))).alias("margin"),
-        F.sum(F.when(cur, F.col("qty"))).alias("qty"),
-        msum(F.when(prev, F.col("revenue"))).alias("revenue_1"),
-        msum(F.when(prev, F.col("margin"))).alias("margin_1"))
+    agg = agg_exact(
+        df, [],
+        revenue=("money", F.when(cur, F.col("revenue"))),
+        cost=("money", F.when(cur, F.col("cost"))),
+        margin=("money", F.when(cur, F.col("margin"))),
+        qty=("sum", F.when(cur, F.col("qty"))),
+        revenue_1=("money", F.when(prev, F.col("revenue"))),
+        margin_1=("money", F.when(prev, F.col("margin"))))
     rate = safe_div(F.col("margin"), F.col("revenue")) * F.lit(100.0)
     rate_1 = safe_div(F.col("margin_1"), F.col("revenue_1")) * F.lit(100.0)
     return agg.select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from closebook.functions import constants as K
 from closebook.functions.dates import month_key
-from closebook.functions.numeric import dec, dround, money, msum, rnd, safe_div
+from closebook.functions.numeric import agg_exact, dec, dround, money, msum, rnd, safe_div
 
 
 def price_scenario(mart: DataFrame, year: int, upmarket_cat: str,
@@ -49,8 +49,8 @@ def line_valuation(lines: DataFrame, unit_price: Column, unit_cost: Column, qty:
 
 def sku_monthly_demand(mart: DataFrame) -> DataFrame:
     """Quantity and cost sold per (month, SKU)."""
-    agg = (mart.groupBy(month_key("order_date").alias("_m"), "sku")
-               .agg(F.sum("qty").alias("qty"), msum("cost").alias("cost")))
+    agg = agg_exact(mart, [month_key("order_date").alias("_m"), "sku"],
+                    qty=("sum", "qty"), cost=("money", "cost"))
     return agg.select(F.date_format("_m", "yyyy-MM").alias("ym"), "sku", "qty", "cost")
 
 
@@ -84,7 +84,7 @@ def freight_ratio_trend(purchases: DataFrame) -> DataFrame:
 
     The lag runs over the month-level aggregate (one row per month).
     """
-    m = purchases.groupBy("ym").agg(msum("goods").alias("goods"), msum("freight").alias("freight"))
+    m = agg_exact(purchases, ["ym"], goods=("money", "goods"), freight=("money", "freight"))
     ratio = safe_div(F.col("freight"), F.col("goods")) * F.lit(100.0)
     m = m.withColumn("_r", ratio)
     return m.select("ym", dround("goods", 2).alias("goods"), dround("freight", 2).alias("freight"),

@@ -12,13 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closebook.functions.dates import in_years
-from closebook.functions.numeric import dround, millions, msum, no_negative_zero, pct, rnd, safe_div
+from closebook.functions.numeric import agg_exact, dround, millions, no_negative_zero, pct, rnd, safe_div
 
 
 def pvm_yearly_base(mart: DataFrame) -> DataFrame:
     """Quantity, revenue and average price per (year, category)."""
-    return (mart.groupBy("yr", "cat")
-            .agg(F.sum("qty").alias("qty"), msum("revenue").alias("revenue"))
+    return (agg_exact(mart, ["yr", "cat"], qty=("sum", "qty"), revenue=("money", "revenue"))
             .withColumn("avg_price", safe_div(F.col("revenue"), F.col("qty"))))
 
 
@@ -30,14 +29,13 @@ def pvm_pivot(mart: DataFrame, year: int, keys=("cat",)) -> DataFrame:
     """
     cur = F.col("yr") == F.lit(year)
     prev = F.col("yr") == F.lit(year - 1)
-    agg = (mart.filter(in_years("order_date", year - 1, year))
-           .groupBy(*keys)
-           .agg(F.sum(F.when(cur, F.col("qty"))).alias("qty_n"),
-                F.sum(F.when(prev, F.col("qty"))).alias("qty_1"),
-                msum(F.when(cur, F.col("revenue"))).alias("revenue_n"),
-                msum(F.when(prev, F.col("revenue"))).alias("revenue_1"),
-                F.count(F.when(cur, F.lit(1))).alias("_rows_n"),
-                F.count(F.when(prev, F.lit(1))).alias("_rows_1")))
+    agg = agg_exact(mart.filter(in_years("order_date", year - 1, year)), list(keys),
+                    qty_n=("sum", F.when(cur, F.col("qty"))),
+                    qty_1=("sum", F.when(prev, F.col("qty"))),
+                    revenue_n=("money", F.when(cur, F.col("revenue"))),
+                    revenue_1=("money", F.when(prev, F.col("revenue"))),
+                    _rows_n=("count", F.when(cur, F.lit(1))),
+                    _rows_1=("count", F.when(prev, F.lit(1))))
     both = (F.col("_rows_n") > 0) & (F.col("_rows_1") > 0)
     for k in keys:
         both = both & F.col(k).isNotNull()
@@ -108,12 +106,11 @@ def pvm_mix_by_sku(mart: DataFrame, year: int) -> DataFrame:
     """
     cur = F.col("yr") == F.lit(year)
     prev = F.col("yr") == F.lit(year - 1)
-    sku = (mart.filter(in_years("order_date", year - 1, year) & F.col("cat").isNotNull())
-           .groupBy("cat", "sku")
-           .agg(F.sum(F.when(cur, F.col("qty"))).alias("q_n"),
-                F.sum(F.when(prev, F.col("qty"))).alias("q_1"),
-                msum(F.when(cur, F.col("revenue"))).alias("r_n"),
-                msum(F.when(prev, F.col("revenue"))).alias("r_1")))
+    sku = agg_exact(mart.filter(in_years("order_date", year - 1, year) & F.col("cat").isNotNull()),
+                    ["cat", "sku"],
+                    q_n=("sum", F.when(cur, F.col("qty"))), q_1=("sum", F.when(prev, F.col("qty"))),
+                    r_n=("money", F.when(cur, F.col("revenue"))),
+                    r_1=("money", F.when(prev, F.col("revenue"))))
     sku_price = ((safe_div(F.col("r_n"), F.col("q_n")) - safe_div(F.col("r_1"), F.col("q_1")))
                  * F.col("q_n"))
     cat = (sku.groupBy("cat")

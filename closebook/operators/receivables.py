@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from closebook.functions import constants as K
 from closebook.functions.dates import month_key
-from closebook.functions.numeric import msum, rnd, thousands
+from closebook.functions.numeric import agg_exact, rnd, thousands
 
 
 def collection_delay(df: DataFrame, raw_delay: str = "raw_delay") -> DataFrame:
@@ -29,12 +29,13 @@ def dso_monthly(cmart: DataFrame) -> DataFrame:
     The month key is the order month ('yyyy-MM' of the order date, NULL dates
     excluded); lines are grouped on the month-start date and labelled after.
     """
-    agg = (cmart.filter(F.col("order_date").isNotNull())
-           .groupBy(month_key("order_date").alias("_m"), "ch")
-           .agg(F.count(F.lit(1)).alias("n"), F.avg("delay_days").alias("_d"),
-                msum("amount").alias("amount")))
+    agg = agg_exact(cmart.filter(F.col("order_date").isNotNull()),
+                    [month_key("order_date").alias("_m"), "ch"],
+                    n=("count", None), _dsum=("sum", F.col("delay_days").cast("long")),
+                    _dn=("count", "delay_days"), amount=("money", "amount"))
+    avg_delay = F.col("_dsum") / F.nullif(F.col("_dn"), F.lit(0))
     return agg.select(F.date_format("_m", "yyyy-MM").alias("ym"), "ch", "n",
-                      rnd("_d", 1).alias("dso_days"),
+                      rnd(avg_delay, 1).alias("dso_days"),
                       thousands(F.col("amount"), 0).alias("collected_k"), "amount")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from closebook.functions import constants as K
 from closebook.functions.dates import in_years
-from closebook.functions.numeric import dround, millions, msum, pct, rnd, safe_div
+from closebook.functions.numeric import agg_exact, dround, millions, msum, pct, rnd, safe_div
 
 CELL = ["mo", "ch", "cat"]
 
@@ -42,8 +42,8 @@ def actual_vs_budget(mart: DataFrame, budget_cells: DataFrame, year: int,
     act = mart.filter(in_years("order_date", year))
     if channel is not None:
         act = act.filter(F.col("ch") == F.lit(channel))
-    act = act.groupBy(*CELL).agg(msum("revenue").alias("actual_revenue"),
-                                 msum("margin").alias("actual_margin"))
+    act = agg_exact(act, CELL, actual_revenue=("money", "revenue"),
+                    actual_margin=("money", "margin"))
     return act.join(budget_cells.select(*CELL, "budget_revenue", "budget_margin"), CELL, how)
 
 
