@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from closebook.functions.numeric import dec, money
+from closebook.functions.numeric import agg_exact, dec, money
 from closebook.session import cut_lineage
 
 
@@ -79,9 +79,10 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
     if bucket_width is None:
         bucket_width = bucket_width_for(*lines.agg(F.min(order[0]), F.max(order[0]),
                                                    F.count(F.lit(1))).first())
-    v = money(value).alias(value)
-    b = lines.select(group, *order, v, F.floor(F.col(order[0]) / F.lit(bucket_width)).alias("_b"))
-    bt = b.groupBy(group, "_b").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"))
+    src = lines.select(group, *order, value,
+                       F.floor(F.col(order[0]) / F.lit(bucket_width)).alias("_b"))
+    bt = agg_exact(src, [group, "_b"], _t=("money", value), _n=("count", None))
+    b = src.withColumn(value, money(value))
     tgt = (dec(target) if target is not None
            else F.sum("_t").over(Window.partitionBy(group)) * dec(share))
     bt = cut_lineage(_prefix(bt, [group], "_b", "_t", tgt))

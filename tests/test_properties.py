@@ -124,3 +124,19 @@ def test_bucket_width_scales_with_sqrt_of_rows():
     w = lines.bucket_width_for(0, 6e11, 6e11)
     assert 6e11 / w < 1e6  # bucket rows per group stay under a million at 6e11 lines
     assert lines.bucket_width_for(None, None, 0) == 1
+
+
+@settings(max_examples=10, deadline=None)
+@given(vals=st.lists(st.integers(min_value=-10**9, max_value=10**9), min_size=1, max_size=80),
+       hot=st.floats(min_value=0.0, max_value=1.0), parts=st.integers(min_value=1, max_value=6))
+def test_agg_exact_equals_decimal_sums(spark, vals, hot, parts):
+    from closebook.functions.numeric import agg_exact
+    # 4-decimal amounts; a share `hot` of the rows goes to one key
+    data = [("hot" if i < hot * len(vals) else f"k{i % 3}", v / 10000.0) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(data, "k string, x double").repartition(parts)
+    got = {r[0]: (r[1], r[2]) for r in rows(agg_exact(df, ["k"], s=("money", "x"), n=("count", None)))}
+    want = {}
+    for k, v in zip([d[0] for d in data], vals):
+        s, n = want.get(k, (Decimal(0), 0))
+        want[k] = (s + Decimal(v) / 10000, n + 1)
+    assert got == want
