@@ -43,3 +43,26 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["ym", "ch", "cat", "qty", "revenue", "cost", "margin", "margin_pc",
                           "mix_share_pc"]
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("key", ["sales_mart", "pnl_monthly", "kpi_mart", "budget_variance",
+                                 "pvm_mix_by_sku", "collections_mart", "dso_alerts",
+                                 "charge_alerts_top20", "running_cutoff", "purchase_costing",
+                                 "pnl_operating", "surrogate_keys"])
+def test_matches_duckdb_with_sort_merge_joins(spark, con, no_broadcast, key):
+    """Cluster-like plans (no join small enough to broadcast) give the same answer."""
+    test_matches_duckdb(spark, con, key)
