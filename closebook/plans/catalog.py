@@ -2,9 +2,9 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
 whole tables. Parameters of the testdata binding (year N, channel slice,
-thresholds, rule targets) are collected in ``PARAMS``. Unrounded money
-columns are reported in cents (2 dp) and unrounded millions at 4 dp, so the
-result does not depend on the summation order of the engine.
+thresholds, rule targets) are collected in ``PARAMS``. Money sums are exact;
+amounts a report leaves unrounded are given in cents (2 dp), millions at 4 dp.
+Each report joins only the dimensions it reads (``_mart`` variants).
 """
 
 from __future__ import annotations
@@ -65,7 +65,7 @@ def _round(df: DataFrame, digits: int, *cols: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# shared building blocks (lazy; each query builds its own plan)
+# shared building blocks: lazy plans built once per accessor (no data cached)
 # --------------------------------------------------------------------------
 
 def _memo(fn):
