@@ -71,18 +71,29 @@ def yearly_targets(mart: DataFrame, growth: float = K.GROWTH_N) -> DataFrame:
              .filter(F.col("_py") == F.col("yr") - 1).drop("_py"))
 
 
-def budget_revenue(mart: DataFrame, year: int, growth: float = K.GROWTH_N) -> DataFrame:
+def revenue_budget_base(cube: DataFrame, year: int) -> DataFrame:
+    """N-1 revenue and margin per (channel, category) read from the monthly cube."""
+    c = cube.filter((F.col("yr") == F.lit(year - 1)) & F.col("ch").isNotNull()
+                    & F.col("cat").isNotNull())
+    return c.groupBy("ch", "cat").agg(F.sum("revenue").alias("rev"), F.sum("margin").alias("mar"))
+
+
+def budget_revenue(mart: DataFrame | None, year: int, growth: float = K.GROWTH_N,
+                   base: DataFrame | None = None) -> DataFrame:
     """Revenue budget of ``year`` per month x channel x category.
 
     amount = target x channel share x category share x coef / 12 (coef / 12,
     not coef / sum of coefs: the budget total is about 1.058 x target);
     margin rate = mean of the channel and category margin rates (4 dp).
-    Target, shares and margin rates come from the N-1 actuals; the cells are
-    the (channel, category) pairs sold in N-1, each expanded into 12 months.
+    Target, shares and margin rates come from the N-1 actuals (``base``, e.g.
+    ``revenue_budget_base`` of a cube, or aggregated here from the lines);
+    the cells are the (channel, category) pairs sold in N-1, each expanded
+    into 12 months.
     """
-    base = agg_exact(mart.filter(in_years("order_date", year - 1) & F.col("ch").isNotNull()
-                                 & F.col("cat").isNotNull()),
-                     ["ch", "cat"], rev=("money", "revenue"), mar=("money", "margin"))
+    if base is None:
+        base = agg_exact(mart.filter(in_years("order_date", year - 1) & F.col("ch").isNotNull()
+                                     & F.col("cat").isNotNull()),
+                         ["ch", "cat"], rev=("money", "revenue"), mar=("money", "margin"))
     by_ch, by_cat, all_ = (Window.partitionBy("ch"), Window.partitionBy("cat"),
                            Window.partitionBy())
     total = F.sum("rev").over(all_)

@@ -31,26 +31,42 @@ def status(ratio: Column, labels: dict[str, str] = K.STATUS_LABELS) -> Column:
              .otherwise(F.lit(labels["on_track"])))
 
 
-def actual_vs_budget(mart: DataFrame, budget_cells: DataFrame, year: int,
-                     channel: str | None = None, how: str = "left") -> DataFrame:
-    """Actuals of ``year`` per cell LEFT JOIN budget cells (unrounded).
-
-    Actuals are aggregated before the join (partial + final aggregate), so the
-    join sees one row per cell. Actuals are the left side: a budget cell
-    without sales disappears (``how='full'`` keeps it, as an opt-in).
-    """
+def actual_cells(mart: DataFrame, year: int, channel: str | None = None) -> DataFrame:
+    """Actual revenue and margin of ``year`` per (mo, ch, cat) from sales lines."""
     act = mart.filter(in_years("order_date", year))
     if channel is not None:
         act = act.filter(F.col("ch") == F.lit(channel))
-    act = agg_exact(act, CELL, actual_revenue=("money", "revenue"),
-                    actual_margin=("money", "margin"))
+    return agg_exact(act, CELL, actual_revenue=("money", "revenue"),
+                     actual_margin=("money", "margin"))
+
+
+def cube_actual_cells(cube: DataFrame, year: int, channel: str | None = None) -> DataFrame:
+    """The same cells read from the monthly cube (already one row per cell)."""
+    c = cube.filter(F.col("yr") == F.lit(year))
+    if channel is not None:
+        c = c.filter(F.col("ch") == F.lit(channel))
+    return c.select(*CELL, F.col("revenue").alias("actual_revenue"),
+                    F.col("margin").alias("actual_margin"))
+
+
+def actual_vs_budget(mart: DataFrame | None, budget_cells: DataFrame, year: int,
+                     channel: str | None = None, how: str = "left",
+                     actuals: DataFrame | None = None) -> DataFrame:
+    """Actuals of ``year`` per cell LEFT JOIN budget cells (unrounded).
+
+    Actuals are aggregated before the join, so the join sees one row per
+    cell; pass ``actuals`` (e.g. ``cube_actual_cells``) to reuse an existing
+    aggregate. Actuals are the left side: a budget cell without sales
+    disappears (``how='full'`` keeps it, as an opt-in).
+    """
+    act = actuals if actuals is not None else actual_cells(mart, year, channel)
     return act.join(budget_cells.select(*CELL, "budget_revenue", "budget_margin"), CELL, how)
 
 
-def budget_variance(mart: DataFrame, budget_cells: DataFrame, year: int,
-                    channel: str | None = None) -> DataFrame:
+def budget_variance(mart: DataFrame | None, budget_cells: DataFrame, year: int,
+                    channel: str | None = None, actuals: DataFrame | None = None) -> DataFrame:
     """V2 + V3: per cell budget, actual, variance and variance % for revenue and margin."""
-    j = actual_vs_budget(mart, budget_cells, year, channel)
+    j = actual_vs_budget(mart, budget_cells, year, channel, actuals=actuals)
     var_r = F.col("actual_revenue") - F.col("budget_revenue")
     var_m = F.col("actual_margin") - F.col("budget_margin")
     return (j.select(
@@ -74,14 +90,15 @@ def budget_status_counts(variance: DataFrame) -> DataFrame:
     return variance.groupBy("status").agg(F.count(F.lit(1)).alias("n")).orderBy("status")
 
 
-def budget_variance_monthly(mart: DataFrame, budget_cells: DataFrame, year: int,
+def budget_variance_monthly(mart: DataFrame | None, budget_cells: DataFrame, year: int,
                             channel: str | None = None,
-                            labels=("favourable", "unfavourable")) -> DataFrame:
+                            labels=("favourable", "unfavourable"),
+                            actuals: DataFrame | None = None) -> DataFrame:
     """V4 + V5: monthly roll-up of the cell join, in millions, with the favourable flag.
 
     SUM(actual - budget) skips cells without budget, like the reference.
     """
-    j = actual_vs_budget(mart, budget_cells, year, channel)
+    j = actual_vs_budget(mart, budget_cells, year, channel, actuals=actuals)
     agg = j.groupBy("mo").agg(
         msum("budget_revenue").alias("budget"), F.sum("actual_revenue").alias("actual"),
         msum(F.col("actual_revenue") - F.col("budget_revenue")).alias("var"))
