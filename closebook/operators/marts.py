@@ -76,7 +76,7 @@ def collections_mart(collections: DataFrame, order_lookup: DataFrame) -> DataFra
                        .withColumn("ym", year_month("order_date")))
 
 
-def kpi_mart(cube: DataFrame, budget: DataFrame, year: int) -> DataFrame:
+def kpi_mart(cube: DataFrame, budget: DataFrame | None, year: int) -> DataFrame:
     """M4: monthly cube LEFT JOIN revenue budget on (mo, ch, cat).
 
     The budget key has no year: budget columns are masked to NULL for every
@@ -84,8 +84,11 @@ def kpi_mart(cube: DataFrame, budget: DataFrame, year: int) -> DataFrame:
     budget_revenue, budget_margin); it is a post-aggregate table, so AQE
     broadcasts it from its measured size.
     """
-    b = budget.select("mo", "ch", "cat", "budget_revenue", "budget_margin")
-    j = cube.join(b, ["mo", "ch", "cat"], "left")
+    if budget is None:  # budget already attached (variance.attach_budget)
+        j = cube
+    else:
+        b = budget.select("mo", "ch", "cat", "budget_revenue", "budget_margin")
+        j = cube.join(b, ["mo", "ch", "cat"], "left")
     in_year = F.col("yr") == F.lit(year)
     var = F.col("revenue") - F.col("budget_revenue")
     return j.select(

@@ -71,6 +71,21 @@ def yearly_targets(mart: DataFrame, growth: float = K.GROWTH_N) -> DataFrame:
              .filter(F.col("_py") == F.col("yr") - 1).drop("_py"))
 
 
+def budget_amount(total: Column, ch_rev: Column, cat_rev: Column, mo: Column,
+                  growth: float = K.GROWTH_N) -> Column:
+    """G8 cell amount: target x channel share x category share x coef / 12 (2 dp),
+    target = N-1 revenue x (1 + growth), shares of the N-1 revenue."""
+    target = total * F.lit(1.0 + growth)
+    return rnd(target * safe_div(ch_rev, total) * safe_div(cat_rev, total) * season_coef(mo)
+               / F.lit(12.0), 2)
+
+
+def budget_margin_rate(ch_margin: Column, ch_rev: Column, cat_margin: Column,
+                       cat_rev: Column) -> Column:
+    """G8 margin rate: mean of the channel and category margin rates (4 dp)."""
+    return rnd((safe_div(ch_margin, ch_rev) + safe_div(cat_margin, cat_rev)) / F.lit(2.0), 4)
+
+
 def revenue_budget_base(cube: DataFrame, year: int) -> DataFrame:
     """N-1 revenue and margin per (channel, category) read from the monthly cube."""
     c = cube.filter((F.col("yr") == F.lit(year - 1)) & F.col("ch").isNotNull()
@@ -96,20 +111,15 @@ def budget_revenue(mart: DataFrame | None, year: int, growth: float = K.GROWTH_N
                          ["ch", "cat"], rev=("money", "revenue"), mar=("money", "margin"))
     by_ch, by_cat, all_ = (Window.partitionBy("ch"), Window.partitionBy("cat"),
                            Window.partitionBy())
-    total = F.sum("rev").over(all_)
     cells = base.select(
-        "ch", "cat",
-        (total * F.lit(1.0 + growth)).alias("target"),
-        safe_div(F.sum("rev").over(by_ch), total).alias("share_ch"),
-        safe_div(F.sum("rev").over(by_cat), total).alias("share_cat"),
-        safe_div(F.sum("mar").over(by_ch), F.sum("rev").over(by_ch)).alias("margin_ch"),
-        safe_div(F.sum("mar").over(by_cat), F.sum("rev").over(by_cat)).alias("margin_cat"))
+        "ch", "cat", F.sum("rev").over(all_).alias("_tot"),
+        F.sum("rev").over(by_ch).alias("_chr"), F.sum("rev").over(by_cat).alias("_catr"),
+        F.sum("mar").over(by_ch).alias("_chm"), F.sum("mar").over(by_cat).alias("_catm"))
     m = cells.select("*", _months())
-    amount = (F.col("target") * F.col("share_ch") * F.col("share_cat") * season_coef(F.col("mo"))
-              / F.lit(12.0))
+    c = F.col
     return m.select(F.lit(year).alias("yr"), "mo", F.lit("CA").alias("type"), "ch", "cat",
-                    rnd(amount, 2).alias("amount"),
-                    rnd((F.col("margin_ch") + F.col("margin_cat")) / F.lit(2.0), 4).alias("margin_pc"))
+                    budget_amount(c("_tot"), c("_chr"), c("_catr"), c("mo"), growth).alias("amount"),
+                    budget_margin_rate(c("_chm"), c("_chr"), c("_catm"), c("_catr")).alias("margin_pc"))
 
 
 def budget_expense(monthly_charges: DataFrame, year: int, marketing_cc: tuple[str, ...]) -> DataFrame:

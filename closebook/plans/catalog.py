@@ -20,7 +20,6 @@ from closebook.functions.dates import as_date
 from closebook.functions.numeric import dround, rnd
 from closebook.operators import (controls, drift, lines, marts, planning, pnl, purchasing, pvm,
                                  receivables, variance)
-from closebook.session import cut_lineage
 from closebook.sources.star import table_row_counts
 from closebook.sources.testdata import LINE_KEYS, TestData
 
@@ -173,25 +172,13 @@ def q_collections_mart(spark, sf_dir):
     return _cmart(_td(spark, sf_dir))
 
 
-def _cube_once(td: TestData) -> DataFrame:
-    """The monthly cube of this query, checkpointed (a small table): the budget
-    base (N-1) and the actuals (N) are both read from it, so the fact - and
-    lineitem, which has no date to prune on - is scanned once, not twice."""
-    return cut_lineage(marts.monthly_cube(_mart(td)))
-
-
-def _cells_from(td: TestData, cube: DataFrame) -> DataFrame:
-    y = PARAMS["year"]
-    rev = planning.budget_revenue(None, y, base=planning.revenue_budget_base(cube, y))
-    exp = planning.budget_expense(_charges_m(td), y, PARAMS["marketing_cc"])
-    return variance.resolve_budget(planning.budget_union(rev, exp), y)
-
-
 @query("kpi_mart")
 def q_kpi_mart(spark, sf_dir):
+    # the budget is attached to the cube by windows over the cube itself: the
+    # fact (and lineitem, which has no date to prune on) is read once
     td = _td(spark, sf_dir)
-    cube = _cube_once(td)
-    return marts.kpi_mart(cube, _cells_from(td, cube), PARAMS["year"])
+    y = PARAMS["year"]
+    return marts.kpi_mart(variance.attach_budget(_cube(td), y), None, y)
 
 
 @query("kpi_mart_preview")
@@ -256,10 +243,9 @@ def q_budget_resolved(spark, sf_dir):
 
 @query("budget_variance")
 def q_budget_variance(spark, sf_dir):
-    td = _td(spark, sf_dir)
-    cube = _cube_once(td)
-    return variance.budget_variance(None, _cells_from(td, cube), PARAMS["year"],
-                                    actuals=variance.cube_actual_cells(cube, PARAMS["year"]))
+    y = PARAMS["year"]
+    hist = variance.history_cells(_cube(_td(spark, sf_dir)), y)
+    return variance.budget_variance(None, None, y, joined=variance.joined_from_history(hist, y))
 
 
 @query("budget_status_counts")
@@ -269,10 +255,9 @@ def q_budget_status_counts(spark, sf_dir):
 
 @query("budget_variance_monthly")
 def q_budget_variance_monthly(spark, sf_dir):
-    td = _td(spark, sf_dir)
-    cube = _cube_once(td)
-    df = variance.budget_variance_monthly(None, _cells_from(td, cube), PARAMS["year"],
-                                          actuals=variance.cube_actual_cells(cube, PARAMS["year"]))
+    y = PARAMS["year"]
+    hist = variance.history_cells(_cube(_td(spark, sf_dir)), y)
+    df = variance.budget_variance_monthly(None, None, y, joined=variance.joined_from_history(hist, y))
     return _round(df, 4, "budget_m", "actual_m", "var_m")
 
 
