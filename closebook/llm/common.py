@@ -37,6 +37,11 @@ def row_key(*cols: Column) -> list[Column]:
     return [F.xxhash64(*cols).alias("key_a"), F.hash(*reversed(cols), F.lit(17)).alias("key_b")]
 
 
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """All columns of ``docs`` as one struct ``doc`` beside ``more``: their names cannot clash with those of joins."""
+    return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), *more)
+
+
 def bounded_histogram(df: DataFrame, count: Callable[[pa.RecordBatch], Iterator[np.ndarray]],
                       size: int, parts: int = 64) -> np.ndarray:
     """Sum over all rows of a histogram with ``size`` bins, for a fixed ``size``.
@@ -52,7 +57,7 @@ def bounded_histogram(df: DataFrame, count: Callable[[pa.RecordBatch], Iterator[
         total = np.zeros(size, np.int64)
         for batch in batches:
             for bins in count(batch):
-                total += np.bincount(bins, minlength=size)
+                np.add.at(total, bins, 1)
         filled = [i for i in range(parts) if total[i * step:(i + 1) * step].any()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(filled, pa.int32()),
@@ -76,3 +81,39 @@ def bounded_histogram(df: DataFrame, count: Callable[[pa.RecordBatch], Iterator[
         got = np.frombuffer(row.counts, np.int64)
         out[row.part * step:row.part * step + len(got)] += got
     return out
+
+
+def bounded_bitmap(df: DataFrame, bins: Callable[[pa.RecordBatch], Iterator[np.ndarray]], size: int,
+                   parts: int = 64) -> np.ndarray:
+    """Which of ``size`` bins any row falls into, for a fixed ``size`` (a multiple of ``8 * parts``).
+
+    Like ``bounded_histogram``, with a bit for each bin.
+    """
+    step = size // parts // 8
+
+    def partial(batches):
+        seen = np.zeros(size, bool)
+        for batch in batches:
+            for some in bins(batch):
+                seen[some] = True
+        packed = np.packbits(seen).reshape(parts, step)
+        filled = np.flatnonzero(packed.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(filled.astype(np.int32)), pa.array([packed[i].tobytes() for i in filled], pa.binary())],
+            names=["part", "bits"])
+
+    def either(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                more = np.frombuffer(raw, np.uint8)
+                total[i] = total[i] | more if i in total else more
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
+            names=["part", "bits"])
+
+    out = np.zeros((parts, step), np.uint8)
+    schema = "part int, bits binary"
+    for row in df.mapInArrow(partial, schema).repartition("part").mapInArrow(either, schema).toLocalIterator():
+        out[row.part] |= np.frombuffer(row.bits, np.uint8)
+    return np.unpackbits(out.reshape(-1)).view(bool)

@@ -22,7 +22,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_histogram, materialize, row_key
+from .common import bounded_histogram, materialize, packed, row_key
 from .words import gram_hashes, row_slices, texts_of, words_of
 
 GRAM = 5
@@ -185,5 +185,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) without contaminated rows."""
     bad = contamination(docs, benchmark).filter("contaminated").select("key_a", "key_b").distinct()
-    keyed = docs.select("*", *row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(bad, ["key_a", "key_b"], "left_anti").select(*docs.columns)
+    keyed = packed(docs, *row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(bad, ["key_a", "key_b"], "left_anti").select("doc.*")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import materialize
+from .common import materialize, packed
 
 WORD = r"[^\x20\x09-\x0D]+"
 DIGITS, LEVELS = 3, 5  # hexadecimal digits a level: 4096 buckets; 60 bits in all
@@ -137,8 +137,7 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most:
     """
     plan = _plan(_sizes(docs, "doc_id", "text", "source"), weights, most).select(
         F.col("named").alias("mix_source"), "every", "cut")
-    taken = docs.withColumn("mix_hash", document_hash()).join(
-        plan, F.col("source").cast("string").eqNullSafe(F.col("mix_source"))).withColumn("mix_copies", _copies("mix_hash"))
-    return (taken.filter("mix_copies > 0")
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
-            .select(*(docs[c] for c in docs.columns)))
+    taken = packed(docs, F.col("source").cast("string").alias("source"), document_hash().alias("hash")).join(
+        plan, F.col("source").eqNullSafe(F.col("mix_source"))).withColumn("copies", _copies("hash"))
+    return (taken.filter("copies > 0")
+            .select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("doc.*"))

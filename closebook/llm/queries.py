@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import language, pii, quality, token_store
 from .decontamination import contamination
+from .line_dedup import duplicate_lines
 from .mixing import mixture
 from .ngram_join import jaccard_components
 from .sharding import assign_shards
@@ -52,6 +53,10 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_and_read_back(_table(spark, sf_dir, "documents"), tokenizer_path(), END_ID).drop("nth")
 
 
+def op7_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_lines(_table(spark, sf_dir, "documents"))
+
+
 def op8_pii_semi_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
@@ -66,4 +71,4 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_ngram_jaccard_join, op3_source_mixture, op4_quality_gam, op5_winnowing_decontamination,
-    op6_token_store, op8_pii_semi_crf, op9_feistel_shards, op10_compression_language)}
+    op6_token_store, op7_line_edit_join, op8_pii_semi_crf, op9_feistel_shards, op10_compression_language)}
