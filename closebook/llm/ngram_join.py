@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_histogram, materialize, row_key
+from .common import bounded_histogram, materialize, packed, row_key
 from .components import components
 from .words import gram_hashes, mix, row_slices, texts_of, words_of
 
@@ -225,7 +225,7 @@ def keep_one_per_component(docs: DataFrame, k: int = 5, threshold: tuple[int, in
     smallest text hash, of rows that repeat id and text any one). Rows without
     words all stay.
     """
-    keyed = docs.select("*", *row_key(F.col("doc_id"), F.col("text")))
+    keyed = packed(docs, *row_key(F.col("doc_id"), F.col("text")))
     found = jaccard_components(docs, k, threshold)
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "key_a", "key_b")
     stay = (found.filter("component is not null").groupBy("component").agg(F.min(rank).alias("best"))
@@ -234,4 +234,4 @@ def keep_one_per_component(docs: DataFrame, k: int = 5, threshold: tuple[int, in
                          .distinct()))
     own = F.when(F.col("blank"), F.monotonically_increasing_id())
     return (keyed.join(stay, ["key_a", "key_b"]).withColumn("own", own)
-            .dropDuplicates(["key_a", "key_b", "own"]).select(*docs.columns))
+            .dropDuplicates(["key_a", "key_b", "own"]).select("doc.*"))
