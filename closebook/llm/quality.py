@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, DoubleType
 
 from .sampling import id_fold, sample_by_class
 
@@ -161,7 +162,7 @@ def train(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
     return model
 
 
-@pandas_udf("array<double>")
+@pandas_udf(ArrayType(DoubleType()))
 def feature_column(texts: pd.Series) -> pd.Series:
     return pd.Series([features(t) for t in texts])
 

@@ -35,7 +35,14 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_TABLES: dict[str, np.ndarray] = {}
+class _Kept(dict):
+    """Tables that each process makes for itself: shipped empty."""
+
+    def __reduce__(self):
+        return _Kept, ()
+
+
+_TABLES = _Kept()
 
 
 def _tables(n: int) -> dict[str, np.ndarray]:
