@@ -84,14 +84,25 @@ def no_negative_zero(c: Column) -> Column:
     return c + F.lit(0.0)
 
 
-def agg_exact(df, keys: list, **aggs):
+def units(c: Column, scale: int) -> Column:
+    """Amount -> LONG units of 10**-scale; an amount with more decimals raises instead of being rounded."""
+    raw = c.cast("double") * F.lit(float(10 ** scale))
+    whole = F.round(raw)
+    fits = F.abs(raw - whole) <= F.lit(1e-3) + F.abs(raw) * F.lit(1e-12)
+    return F.when(fits | raw.isNull(), whole.cast("long")).otherwise(
+        F.raise_error(F.lit(f"an amount has more than {scale} decimals")).cast("long"))
+
+
+def agg_exact(df, keys: list, scale: int = 4, **aggs):
     """``groupBy(keys).agg(...)`` with exact money sums at long-integer speed.
 
     ``aggs``: name -> (kind, column) with kind ``money`` (exact sum of line
     amounts), ``sum`` or ``count`` (column ``None`` counts rows).
 
     Level 1 groups by the keys and the task's partition id: each task sums
-    its money as LONG units of 1e-4 (amounts carry at most 4 decimals). A
+    its money as LONG units of 10**-scale (an amount with more decimals
+    raises). Filters must stand below: the partition id keeps them from moving
+    through. A
     task reads a bounded slice of the input, so the long cannot overflow
     whatever the size of a group - a hot key is spread over many tasks.
     Level 2 adds the per-task partials (a few rows per key) in DECIMAL, so
@@ -102,7 +113,7 @@ def agg_exact(df, keys: list, **aggs):
     for name, (kind, c) in aggs.items():
         c = _c(c) if c is not None else None
         if kind == "money":
-            lvl1.append(F.sum(F.round(c * F.lit(10000.0)).cast("long")).alias(name))
+            lvl1.append(F.sum(units(c, scale)).alias(name))
         elif kind == "sum":
             lvl1.append(F.sum(c).alias(name))
         elif kind == "count":
@@ -114,8 +125,8 @@ def agg_exact(df, keys: list, **aggs):
     lvl2 = []
     for name, (kind, _) in aggs.items():
         if kind == "money":
-            lvl2.append((F.sum(F.col(name).cast("decimal(38,0)")) * F.lit(Decimal("0.0001")))
-                        .cast("decimal(38,4)").alias(name))
+            lvl2.append((F.sum(F.col(name).cast("decimal(38,0)")) * F.lit(Decimal(1).scaleb(-scale)))
+                        .cast(f"decimal(38,{max(4, scale)})").alias(name))
         else:
             lvl2.append(F.sum(name).alias(name))
     return part.groupBy(*names).agg(*lvl2)

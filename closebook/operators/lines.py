@@ -8,7 +8,6 @@ offset, and only then are rows numbered or summed inside a range.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,22 +30,27 @@ def _prefix(df: DataFrame, part: list[str], order: str, total: str, target: Colu
                         .when(crossing, F.lit("crossing")).otherwise(F.lit("after")))
 
 
-def bucket_width_for(lo, hi, n) -> int:
-    """Key-range bucket width ~ key range / sqrt(rows).
+def _same(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL equals NULL (lines without a month are a group too)."""
+    renamed = small.withColumnsRenamed({k: f"_{k}_of" for k in keys})
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}_of")) for k in keys])
+    return df.join(renamed, on).drop(*(f"_{k}_of" for k in keys))
+
+
+def bucket_width(keys: DataFrame, key: str) -> Column:
+    """Key-range bucket width ~ key range / sqrt(rows), as a scalar subquery over ``keys``.
 
     A group then has about sqrt(n) bucket rows (what its first window sorts)
-    and a bucket about sqrt(n) / groups lines (what a crossing bucket
-    numbers): both grow with the square root of the data, e.g. under 1e6 at
-    6e11 lines.
+    and a bucket about sqrt(n) / groups lines: both grow with the square root
+    of the data, e.g. under 1e6 at 6e11 lines. An empty table gives NULL.
     """
-    if lo is None or hi is None or not n:
-        return 1
-    return max(1, math.ceil((float(hi) - float(lo) + 1) / math.sqrt(n)))
+    span = (F.max(key) - F.min(key) + F.lit(1)).cast("double")
+    return keys.agg(F.greatest(F.lit(1), F.ceil(span / F.sqrt(F.count(F.lit(1))))).alias("width")).scalar()
 
 
 def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
                    share: float | None = None, target: float | None = None,
-                   bucket_width: int | None = None, max_direct_rows: int = 2_000_000,
+                   width: int | None = None, keys: DataFrame | None = None,
                    partitions: int | None = None) -> DataFrame:
     """Per group, keep lines in ``order`` until the running total reaches
     the target (a fixed ``target``, or ``share`` x group total), the crossing
@@ -56,33 +60,29 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
     target. Values must be non-negative (monotone running total); they are
     summed exactly (DECIMAL), so the cut does not depend on partitioning.
     ``order`` must be a total order (unique per group); ``order[0]`` numeric.
+    A NULL group is a group like any other.
 
     No group is ever sorted as a whole and no task receives a whole group:
-      1. key-range buckets, floor(order[0] / bucket_width) (default width from
-         ``bucket_width_for``, one scalar aggregate over the key): per (group, bucket)
-         totals come from a partial + final aggregate; a window over that small
-         table classifies buckets as kept, crossing or dropped. The table is
+      1. key-range buckets, floor(order[0] / width) (default width from
+         ``bucket_width`` over ``keys``, a table with the same keys, or the lines): per
+         (group, bucket) totals come from a partial + final aggregate; a window over
+         that small table classifies buckets as kept, crossing or dropped. The table is
          checkpointed (small) so every later use sees the same classes. Kept
          buckets count from it; dropped ones are never touched again.
-      2. only the crossing bucket of each group goes on. If the largest one
-         holds at most ``max_direct_rows`` lines it is numbered row by row directly
-         (a window per group and bucket). Otherwise a hot key filled it: its
-         lines are range-partitioned on (group, order) - bounds sampled from
-         the full unique order, so even one key is split across tasks -,
+      2. only the crossing bucket of each group goes on. The lines' keys are first
+         filtered to the crossing buckets (a semi join on the bucket number, which the
+         optimizer moves below the joins that built the lines). They are
+         range-partitioned on (group, order) - bounds sampled from
+         the full unique order, so even one hot key is split across tasks -,
          checkpointed, partition totals classify the partitions the same way,
          and only the one crossing partition per group is numbered.
-    ``max_direct_rows`` only chooses between the two ways of numbering the
-    crossing bucket; every line is always accounted for.
+    The two checkpoints run when the operator is called.
     Output: (group, kept_rows, kept_value, target).
     """
     spark = lines.sparkSession
-    if bucket_width is None:
-        bucket_width = bucket_width_for(*lines.agg(F.min(order[0]), F.max(order[0]),
-                                                   F.count(F.lit(1))).first())
-    src = lines.select(group, *order, value,
-                       F.floor(F.col(order[0]) / F.lit(bucket_width)).alias("_b"))
+    w = F.lit(width) if width is not None else bucket_width(lines if keys is None else keys, order[0])
+    src = lines.select(group, *order, value).withColumn("_b", F.floor(F.col(order[0]) / w))
     bt = agg_exact(src, [group, "_b"], _t=("money", value), _n=("count", None))
-    b = src.withColumn(value, money(value))
     tgt = (dec(target) if target is not None
            else F.sum("_t").over(Window.partitionBy(group)) * dec(share))
     bt = cut_lineage(_prefix(bt, [group], "_b", "_t", tgt))
@@ -92,53 +92,46 @@ def running_cutoff(lines: DataFrame, group: str, order: list[str], value: str,
                   .agg(F.sum(rows_col).alias("_rows"), F.sum(val_col).alias("_val")))
 
     whole = bt.groupBy(group).agg(F.max("_target").alias("target"))
-    crossing = bt.filter(F.col("_class") == "crossing")
-    cross_b = crossing.select(group, "_b", "_before", "_target")
-    rows = b.join(cross_b, [group, "_b"], "inner")
-    largest = crossing.agg(F.max("_n")).first()[0] or 0
-
-    if largest <= max_direct_rows:
-        piece, off = "_b", F.col("_before")
-        parts = [kept(bt, "_n", "_t")]
-    else:
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = cut_lineage(rows.repartitionByRange(n, group, *order)
-                               .withColumn("_p", F.spark_partition_id()))
-        pt = (rows.groupBy(group, "_p")
-                  .agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"),
-                       F.first("_before").alias("_b0"), F.first("_target").alias("_tg")))
-        pt = _prefix(pt, [group], "_p", "_t", F.col("_tg") - F.col("_b0"))
-        cross_p = pt.filter(F.col("_class") == "crossing").select(
-            group, "_p", (F.col("_b0") + F.col("_before")).alias("_off"))
-        rows = rows.drop("_before").join(cross_p, [group, "_p"], "inner")
-        piece, off = "_p", F.col("_off")
-        parts = [kept(bt, "_n", "_t"), kept(pt, "_n", "_t")]
-
-    wr = (Window.partitionBy(group, piece).orderBy(*order)
+    cross_b = bt.filter(F.col("_class") == "crossing").select(group, "_b", "_before", "_target")
+    near = src.join(cross_b.select("_b").distinct(), "_b", "left_semi").withColumn(value, money(value))
+    rows = _same(near, cross_b, [group, "_b"])
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut_lineage(rows.repartitionByRange(n, group, *order)
+                           .withColumn("_p", F.spark_partition_id()))
+    pt = (rows.groupBy(group, "_p")
+              .agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_n"),
+                   F.first("_before").alias("_b0"), F.first("_target").alias("_tg")))
+    pt = _prefix(pt, [group], "_p", "_t", F.col("_tg") - F.col("_b0"))
+    cross_p = pt.filter(F.col("_class") == "crossing").select(
+        group, "_p", (F.col("_b0") + F.col("_before")).alias("_off"))
+    last = _same(rows.drop("_before"), cross_p, [group, "_p"])
+    wr = (Window.partitionBy(group, "_p").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, -1))
-    run = off + F.coalesce(F.sum(value).over(wr), dec(0))
-    parts.append(rows.withColumn("_run", run).filter(F.col("_run") < F.col("_target"))
-                     .groupBy(group).agg(F.count(F.lit(1)).alias("_rows"),
-                                         F.sum(value).alias("_val")))
+    run = F.col("_off") + F.coalesce(F.sum(value).over(wr), dec(0))
+    parts = [kept(bt, "_n", "_t"), kept(pt, "_n", "_t"),
+             last.withColumn("_run", run).filter(F.col("_run") < F.col("_target"))
+                 .groupBy(group).agg(F.count(F.lit(1)).alias("_rows"), F.sum(value).alias("_val"))]
     agg = reduce(DataFrame.unionByName, parts).groupBy(group).agg(
-        F.sum("_rows").alias("_rows"), F.sum("_val").alias("_val"))
-    res = whole.join(agg, group, "left")
+        F.sum("_rows").alias("_rows"), F.sum("_val").alias("_val")).withColumnRenamed(group, "_of")
+    res = whole.join(agg, F.col(group).eqNullSafe(F.col("_of")), "left")
     return res.select(group, F.coalesce(F.col("_rows"), F.lit(0)).cast("long").alias("kept_rows"),
                       F.coalesce(F.col("_val"), dec(0)).alias("kept_value"), "target")
 
 
-def surrogate_keys(df: DataFrame, key: str, fmt: str, partitions: int | None = None) -> DataFrame:
-    """Sequential codes (``fmt`` % position, 1-based) in ``key`` order.
+def surrogate_keys(df: DataFrame, key: str | list[str], fmt: str, partitions: int | None = None) -> DataFrame:
+    """Sequential codes (``fmt`` % position, 1-based) in the order of one or more key columns.
 
     Range-partition and sort by key, tag every row with its partition and
     its monotonically increasing id, checkpoint (so every use sees the same
-    rows even after an executor loss), then turn per-partition counts - one
-    row per partition, a table bounded by the partition count - into offsets.
+    rows even after an executor loss; this job runs when the operator is
+    called), then turn per-partition counts - one row per partition, a table
+    bounded by the partition count - into offsets. ``key`` must be unique.
     """
     spark = df.sparkSession
+    key = [key] if isinstance(key, str) else key
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.select(key).repartitionByRange(n, key).sortWithinPartitions(key)
-           .select(key, F.spark_partition_id().alias("_p"),
+    s = (df.select(*key).repartitionByRange(n, *key).sortWithinPartitions(*key)
+           .select(*key, F.spark_partition_id().alias("_p"),
                    F.monotonically_increasing_id().alias("_id")))
     s = cut_lineage(s)
     counts = s.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
@@ -146,4 +139,4 @@ def surrogate_keys(df: DataFrame, key: str, fmt: str, partitions: int | None = N
     offsets = counts.select("_p", "_first", F.coalesce(before, F.lit(0)).alias("_off"))
     pos: Column = F.col("_off") + (F.col("_id") - F.col("_first")) + F.lit(1)
     return (s.join(F.broadcast(offsets), "_p")
-             .select(key, F.format_string(fmt, pos).alias("code")))
+             .select(*key, F.format_string(fmt, pos).alias("code")))

@@ -65,15 +65,16 @@ def monthly_cube(mart: DataFrame) -> DataFrame:
                       pct(F.col("revenue") - F.col("cost"), F.col("revenue"), 2).alias("margin_pc"))
 
 
-def collections_mart(collections: DataFrame, order_lookup: DataFrame) -> DataFrame:
+def collections_mart(collections: DataFrame, order_lookup: DataFrame | None) -> DataFrame:
     """M3: collections LEFT JOIN the order -> channel lookup; month key of the order date.
 
     Both sides are large; the join is a sort-merge (or shuffled hash) join on
     ``order_id``. When the collections were built by a join on the same key
     the left side is already hash-partitioned and is not shuffled again.
+    ``order_lookup=None``: the collections carry their channel already.
     """
-    return (collections.join(order_lookup, "order_id", "left")
-                       .withColumn("ym", year_month("order_date")))
+    joined = collections if order_lookup is None else collections.join(order_lookup, "order_id", "left")
+    return joined.withColumn("ym", year_month("order_date"))
 
 
 def kpi_mart(cube: DataFrame, budget: DataFrame | None, year: int) -> DataFrame:

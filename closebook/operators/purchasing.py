@@ -48,10 +48,10 @@ def line_valuation(lines: DataFrame, unit_price: Column, unit_cost: Column, qty:
 
 
 def sku_monthly_demand(mart: DataFrame) -> DataFrame:
-    """Quantity and cost sold per (month, SKU)."""
-    agg = agg_exact(mart, [month_key("order_date").alias("_m"), "sku"],
-                    qty=("sum", "qty"), cost=("money", "cost"))
-    return agg.select(F.date_format("_m", "yyyy-MM").alias("ym"), "sku", "qty", "cost")
+    """Quantity and (if the lines carry it) cost sold per (month, SKU)."""
+    cost = {"cost": ("money", "cost")} if "cost" in mart.columns else {}
+    agg = agg_exact(mart, [month_key("order_date").alias("_m"), "sku"], qty=("sum", "qty"), **cost)
+    return agg.select(F.date_format("_m", "yyyy-MM").alias("ym"), "sku", "qty", *cost)
 
 
 def purchase_costing(demand: DataFrame, products: DataFrame, year: int,

@@ -97,20 +97,25 @@ def pvm_effects_m(mart: DataFrame, year: int) -> DataFrame:
              .orderBy(F.col("_order").desc()).drop("_order"))
 
 
-def pvm_mix_by_sku(mart: DataFrame, year: int) -> DataFrame:
+def pvm_mix_by_sku(mart: DataFrame, year: int, products: DataFrame | None = None) -> DataFrame:
     """E6 (extension): price effect summed over SKUs sold in both years; mix = residual.
 
     Two aggregations: SKU grain (conditional sums of N and N-1), then a
     roll-up to category of the SKU-level rows. Volume stays at category grain.
-    New and dropped SKUs fall into the mix.
+    New and dropped SKUs fall into the mix. With ``products`` (sku, cat), the
+    lines need no category: they are aggregated by SKU before the join.
     """
     cur = F.col("yr") == F.lit(year)
     prev = F.col("yr") == F.lit(year - 1)
-    sku = agg_exact(mart.filter(in_years("order_date", year - 1, year) & F.col("cat").isNotNull()),
-                    ["cat", "sku"],
+    lines = mart.filter(in_years("order_date", year - 1, year))
+    if products is None:
+        lines = lines.filter(F.col("cat").isNotNull())
+    sku = agg_exact(lines, ["sku"] if products is not None else ["cat", "sku"],
                     q_n=("sum", F.when(cur, F.col("qty"))), q_1=("sum", F.when(prev, F.col("qty"))),
                     r_n=("money", F.when(cur, F.col("revenue"))),
                     r_1=("money", F.when(prev, F.col("revenue"))))
+    if products is not None:
+        sku = sku.join(products.select("sku", "cat").filter(F.col("cat").isNotNull()), "sku")
     sku_price = ((safe_div(F.col("r_n"), F.col("q_n")) - safe_div(F.col("r_1"), F.col("q_1")))
                  * F.col("q_n"))
     cat = (sku.groupBy("cat")

@@ -73,10 +73,9 @@ def alert_rules(spark: SparkSession, rules=K.DSO_ALERT_RULES) -> DataFrame:
 def dso_alerts(dso: DataFrame, rules: DataFrame) -> DataFrame:
     """Alert label when the channel's DSO exceeds its threshold, else NULL.
 
-    The rules table is a fixed literal list (one row per rule), so broadcasting
-    it is bounded by construction.
+    Spark broadcasts the rules when their size allows it.
     """
-    j = dso.join(F.broadcast(rules.select("ch", "threshold", "label")), "ch", "left")
+    j = dso.join(rules.select("ch", "threshold", "label"), "ch", "left")
     alert: Column = F.when(F.col("dso_days") > F.col("threshold"), F.col("label"))
     return j.withColumn("alert", alert).drop("threshold", "label")
 

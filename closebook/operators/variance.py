@@ -108,9 +108,12 @@ def actual_vs_budget(mart: DataFrame | None, budget_cells: DataFrame, year: int,
 
 def budget_variance(mart: DataFrame | None, budget_cells: DataFrame | None, year: int,
                     channel: str | None = None, actuals: DataFrame | None = None,
-                    joined: DataFrame | None = None) -> DataFrame:
-    """V2 + V3: per cell budget, actual, variance and variance % for revenue and margin."""
-    j = actual_vs_budget(mart, budget_cells, year, channel, actuals=actuals, joined=joined)
+                    joined: DataFrame | None = None, how: str = "left") -> DataFrame:
+    """V2 + V3: per cell budget, actual, variance and variance % for revenue and margin.
+
+    ``how='full'`` also lists budget cells without sales (NULL actuals).
+    """
+    j = actual_vs_budget(mart, budget_cells, year, channel, how=how, actuals=actuals, joined=joined)
     var_r = F.col("actual_revenue") - F.col("budget_revenue")
     var_m = F.col("actual_margin") - F.col("budget_margin")
     return (j.select(

@@ -1,7 +1,8 @@
 """Driver catalog: every operator bound to the testdata tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables. Parameters of the testdata binding (year N, channel slice,
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables; all are lazy but the line sequences (``running_cutoff`` and the
+surrogate keys), which write their checkpoints when they are called. Parameters of the testdata binding (year N, channel slice,
 thresholds, rule targets) are collected in ``PARAMS``. Money sums are exact;
 amounts a report leaves unrounded are given in cents (2 dp), millions at 4 dp.
 Each report joins only the dimensions it reads (``_mart`` variants).
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from closebook.functions.dates import as_date
+from closebook.functions.dates import as_date, in_years
 from closebook.functions.numeric import dround, rnd
 from closebook.operators import (controls, drift, lines, marts, planning, pnl, purchasing, pvm,
                                  receivables, variance)
@@ -108,8 +109,7 @@ def _cube(td: TestData) -> DataFrame:
 
 @_memo
 def _cmart(td: TestData) -> DataFrame:
-    return marts.collections_mart(receivables.collection_delay(td.collections()),
-                                  td.order_channel_lookup())
+    return marts.collections_mart(receivables.collection_delay(td.collections(with_channel=True)), None)
 
 
 @_memo
@@ -117,11 +117,17 @@ def _charges_m(td: TestData) -> DataFrame:
     return drift.charges_monthly(td.charges())
 
 
+@_memo
+def _charges_before(td: TestData) -> DataFrame:
+    """Monthly charges of N-1 alone: the date range stands below the aggregate and reaches the scan."""
+    return drift.charges_monthly(td.charges().filter(in_years("charge_date", PARAMS["year"] - 1)))
+
+
 @_memo
 def _budget(td: TestData) -> DataFrame:
     y = PARAMS["year"]
     return planning.budget_union(planning.budget_revenue(_mart(td), y),
-                                 planning.budget_expense(_charges_m(td), y, PARAMS["marketing_cc"]))
+                                 planning.budget_expense(_charges_before(td), y, PARAMS["marketing_cc"]))
 
 
 @_memo
@@ -134,16 +140,22 @@ def _dso(td: TestData) -> DataFrame:
     return receivables.dso_report(_cmart(td), receivables.alert_rules(td.spark, PARAMS["dso_rules"]))
 
 
-_ACCESSORS: dict[tuple[int, str], TestData] = {}
+_LATEST: list[TestData] = []
 
 
 def _td(spark: SparkSession, sf_dir: str) -> TestData:
-    """One accessor per (session, folder): readers and shared plans are built once."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    td = _ACCESSORS.get(key)
-    if td is None or td.spark is not spark:
-        td = _ACCESSORS[key] = TestData(spark, sf_dir)
-    return td
+    """The accessor of the session and folder used last: readers and shared plans are built once.
+
+    Only one is kept, so stopped sessions and old file listings go away.
+    """
+    if not _LATEST or _LATEST[0].spark is not spark or _LATEST[0].base != sf_dir.rstrip("/"):
+        _LATEST[:] = [TestData(spark, sf_dir)]
+    return _LATEST[0]
+
+
+def forget() -> None:
+    """Drop the accessor: the next query lists files and builds plans anew."""
+    _LATEST.clear()
 
 
 # --------------------------------------------------------------------------
@@ -174,11 +186,8 @@ def q_collections_mart(spark, sf_dir):
 
 @query("kpi_mart")
 def q_kpi_mart(spark, sf_dir):
-    # the budget is attached to the cube by windows over the cube itself: the
-    # fact (and lineitem, which has no date to prune on) is read once
     td = _td(spark, sf_dir)
-    y = PARAMS["year"]
-    return marts.kpi_mart(variance.attach_budget(_cube(td), y), None, y)
+    return marts.kpi_mart(_cube(td), _cells(td), PARAMS["year"])
 
 
 @query("kpi_mart_preview")
@@ -243,9 +252,8 @@ def q_budget_resolved(spark, sf_dir):
 
 @query("budget_variance")
 def q_budget_variance(spark, sf_dir):
-    y = PARAMS["year"]
-    hist = variance.history_cells(_cube(_td(spark, sf_dir)), y)
-    return variance.budget_variance(None, None, y, joined=variance.joined_from_history(hist, y))
+    td = _td(spark, sf_dir)
+    return variance.budget_variance(_mart(td), _cells(td), PARAMS["year"])
 
 
 @query("budget_status_counts")
@@ -255,9 +263,8 @@ def q_budget_status_counts(spark, sf_dir):
 
 @query("budget_variance_monthly")
 def q_budget_variance_monthly(spark, sf_dir):
-    y = PARAMS["year"]
-    hist = variance.history_cells(_cube(_td(spark, sf_dir)), y)
-    df = variance.budget_variance_monthly(None, None, y, joined=variance.joined_from_history(hist, y))
+    td = _td(spark, sf_dir)
+    df = variance.budget_variance_monthly(_mart(td), _cells(td), PARAMS["year"])
     return _round(df, 4, "budget_m", "actual_m", "var_m")
 
 
@@ -294,7 +301,8 @@ def q_pvm_effects_m(spark, sf_dir):
 
 @query("pvm_mix_by_sku")
 def q_pvm_mix_by_sku(spark, sf_dir):
-    return pvm.pvm_mix_by_sku(_mart_no_channel(_td(spark, sf_dir)), PARAMS["year"])
+    td = _td(spark, sf_dir)
+    return pvm.pvm_mix_by_sku(_lines(td), PARAMS["year"], td.products())
 
 
 # --------------------------------------------------------------------------
@@ -424,12 +432,9 @@ def q_seasonal_allocation(spark, sf_dir):
 @query("running_cutoff")
 def q_running_cutoff(spark, sf_dir):
     td = _td(spark, sf_dir)
-    # bucket width from the line table's own key range and size (one scalar
-    # aggregate over one column; the lines are exactly the lineitem rows)
-    stats = td.table("lineitem").agg(F.min("l_orderkey"), F.max("l_orderkey"),
-                                     F.count(F.lit(1))).first()
+    # bucket width from one column of lineitem: the lines are exactly its rows
     df = lines.running_cutoff(_lines(td), "ym", LINE_KEYS, "revenue", share=PARAMS["cutoff_share"],
-                              bucket_width=lines.bucket_width_for(*stats))
+                              keys=td.table("lineitem").select("l_orderkey"))
     return _round(df.withColumnRenamed("kept_value", "kept_revenue"), 2, "kept_revenue", "target")
 
 
@@ -458,7 +463,7 @@ def q_sku_monthly_demand(spark, sf_dir):
 
 
 def _purchases(td: TestData) -> DataFrame:
-    return purchasing.purchase_costing(purchasing.sku_monthly_demand(_mart_no_channel(td)), td.products(),
+    return purchasing.purchase_costing(purchasing.sku_monthly_demand(_lines(td)), td.products(),
                                        PARAMS["year"], PARAMS["overstock"])
 
 
@@ -474,7 +479,7 @@ def q_budget_revenue(spark, sf_dir):
 
 @query("budget_expense")
 def q_budget_expense(spark, sf_dir):
-    return planning.budget_expense(_charges_m(_td(spark, sf_dir)), PARAMS["year"],
+    return planning.budget_expense(_charges_before(_td(spark, sf_dir)), PARAMS["year"],
                                    PARAMS["marketing_cc"])
 
 
@@ -485,7 +490,7 @@ def q_budget_union(spark, sf_dir):
 
 @query("charge_schedule")
 def q_charge_schedule(spark, sf_dir):
-    return planning.charge_schedule(_charges_m(_td(spark, sf_dir)), PARAMS["year"],
+    return planning.charge_schedule(_charges_before(_td(spark, sf_dir)), PARAMS["year"],
                                     PARAMS["marketing_cc"], PARAMS["charge_spike"])
 
 
@@ -500,6 +505,30 @@ def q_surrogate_keys(spark, sf_dir):
     return lines.surrogate_keys(o, "o_orderkey", "CMD%08d").withColumnRenamed("code", "order_code")
 
 
+@query("surrogate_keys_lines")
+def q_surrogate_keys_lines(spark, sf_dir):
+    li = _td(spark, sf_dir).table("lineitem")
+    return lines.surrogate_keys(li, LINE_KEYS, "VTE%010d").withColumnRenamed("code", "line_code")
+
+
+@query("surrogate_keys_customers")
+def q_surrogate_keys_customers(spark, sf_dir):
+    c = _td(spark, sf_dir).table("customer")
+    return lines.surrogate_keys(c, "c_custkey", "C%06d").withColumnRenamed("code", "customer_code")
+
+
+@query("surrogate_keys_products")
+def q_surrogate_keys_products(spark, sf_dir):
+    p = _td(spark, sf_dir).table("part")
+    return lines.surrogate_keys(p, "p_partkey", "SKU%06d").withColumnRenamed("code", "product_code")
+
+
+@query("surrogate_keys_invoices")
+def q_surrogate_keys_invoices(spark, sf_dir):
+    bought = _purchases(_td(spark, sf_dir))
+    return lines.surrogate_keys(bought, ["ym", "sku"], "FA%07d").withColumnRenamed("code", "invoice_code")
+
+
 # --------------------------------------------------------------------------
 # 2.I extensions
 # --------------------------------------------------------------------------

@@ -503,6 +503,19 @@ SQL["payroll_schedule"] = WITH(PAYROLL) + "SELECT ym, cc_id, amount FROM payroll
 SQL["surrogate_keys"] = """SELECT o_orderkey, printf('CMD%08d', ROW_NUMBER() OVER (ORDER BY o_orderkey)) AS order_code
 FROM orders"""
 
+SQL["surrogate_keys_lines"] = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+  printf('VTE%010d', ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS line_code
+FROM lineitem"""
+
+SQL["surrogate_keys_customers"] = """SELECT c_custkey, printf('C%06d', ROW_NUMBER() OVER (ORDER BY c_custkey)) AS customer_code
+FROM customer"""
+
+SQL["surrogate_keys_products"] = """SELECT p_partkey, printf('SKU%06d', ROW_NUMBER() OVER (ORDER BY p_partkey)) AS product_code
+FROM part"""
+
+SQL["surrogate_keys_invoices"] = WITH(PURCH) + """
+SELECT ym, sku, printf('FA%07d', ROW_NUMBER() OVER (ORDER BY ym, sku)) AS invoice_code FROM purchases"""
+
 SQL["freight_ratio_trend"] = WITH(PURCH) + f""", m AS (
   SELECT ym, {MS('goods')} AS goods, {MS('freight')} AS freight,
          {DIV(MS('freight'), MS('goods'))} * {D(100.0)} AS r

@@ -22,6 +22,8 @@ from closebook.functions.dates import year_month
 from closebook.sources.schemas import MONTH_PARTITIONED, STAR_SCHEMAS, STAR_TABLES
 
 CSV_OPTIONS = {"sep": ";", "header": "true", "encoding": "UTF-8"}
+#: A value that does not fit its type, a missing field or a header that differs from the schema is an error.
+STRICT = {"mode": "FAILFAST", "enforceSchema": "false"}
 
 
 def _path(base: str, table: str) -> str:
@@ -43,12 +45,17 @@ def check_inputs(spark: SparkSession, base: str, tables=STAR_TABLES) -> None:
 
 def read_star(spark: SparkSession, base: str, tables=STAR_TABLES,
               check: bool = True) -> dict[str, DataFrame]:
-    """Typed, lazy read of the star CSV files."""
+    """Typed, lazy read of the star CSV files.
+
+    Strict: a malformed value or a header whose names or order differ from the
+    declared schema fails the job that reads it, instead of giving NULLs or
+    swapped columns.
+    """
     if check:
         check_inputs(spark, base, tables)
     out = {}
     for t in tables:
-        df = spark.read.options(**CSV_OPTIONS).schema(STAR_SCHEMAS[t]).csv(_path(base, t))
+        df = spark.read.options(**CSV_OPTIONS, **STRICT).schema(STAR_SCHEMAS[t]).csv(_path(base, t))
         if t == "fact_budget":
             df = (df.withColumn("canal_id", F.col("canal_id").cast("int"))
                     .withColumn("categorie_id", F.col("categorie_id").cast("int")))
@@ -57,14 +64,19 @@ def read_star(spark: SparkSession, base: str, tables=STAR_TABLES,
 
 
 def write_star(tables: dict[str, DataFrame], base: str, fmt: str = "parquet") -> None:
-    """Drop-and-recreate each table; month-partitioned facts prune by month."""
+    """Drop-and-recreate each table; month-partitioned facts prune by month.
+
+    Facts are dealt by month with a REBALANCE: adaptive execution splits a month
+    that holds much of the data over several tasks (files of about the advisory
+    partition size) and merges small ones.
+    """
     for name, df in tables.items():
         w = df
         part_col = MONTH_PARTITIONED.get(name)
         writer = None
         if part_col is not None:
             w = df.withColumn("annee_mois", year_month(part_col))
-            writer = w.repartition("annee_mois").write.partitionBy("annee_mois")
+            writer = w.hint("rebalance", "annee_mois").write.partitionBy("annee_mois")
         else:
             writer = w.write
         writer.mode("overwrite").format(fmt).save(f"{base.rstrip('/')}/{name}")
@@ -134,12 +146,12 @@ def collections_view(t: dict[str, DataFrame]) -> DataFrame:
 def order_channel_view(t: dict[str, DataFrame]) -> DataFrame:
     """Collections find their channel through the sale line (commande_id -> canal).
 
-    The channel dimension is a handful of rows by construction, so it is
-    broadcast: the sales side keeps its own partitioning (bucketed on the
-    order id when persisted with ``save_star_tables``) into the M3 join.
+    A channel dimension below the broadcast threshold is broadcast by Spark, and
+    the sales side keeps its own partitioning (bucketed on the order id when
+    persisted with ``save_star_tables``) into the M3 join.
     """
     return (t["fact_ventes"].select(F.col("commande_id").alias("order_id"), "canal_id")
-            .join(F.broadcast(t["dim_canal"].select("canal_id", "canal")), "canal_id", "left")
+            .join(t["dim_canal"].select("canal_id", "canal"), "canal_id", "left")
             .select("order_id", F.col("canal").alias("ch")))
 
 
@@ -165,8 +177,8 @@ def budget_view(t: dict[str, DataFrame]) -> DataFrame:
     b = t["fact_budget"]
     ch = t["dim_canal"].select("canal_id", F.col("canal").alias("ch"))
     cat = t["dim_categorie"].select("categorie_id", F.col("categorie").alias("cat"))
-    return (b.join(F.broadcast(ch), "canal_id", "left")
-             .join(F.broadcast(cat), "categorie_id", "left")
+    return (b.join(ch, "canal_id", "left")
+             .join(cat, "categorie_id", "left")
              .select(F.col("annee").alias("yr"), F.col("mois").alias("mo"), "type", "ch", "cat",
                      "cc_id", F.col("montant_budget").alias("amount"),
                      F.col("marge_budget_pc").alias("margin_pc")))

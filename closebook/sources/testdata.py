@@ -97,18 +97,19 @@ class TestData:
                          F.col("l_quantity").alias("qty"),
                          (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("revenue")))
 
-    def collections(self) -> DataFrame:
-        """One collection per line: (order_id, keys, order_date, raw delay, amount)."""
+    def collections(self, with_channel: bool = False) -> DataFrame:
+        """One collection per line: (order_id, keys, order_date, raw delay, amount[, ch]).
+
+        Date and channel come from one join with orders (x customer).
+        """
         l = self.table("lineitem").select(*LINE_KEYS, "l_shipdate")
-        o = self.table("orders").select("o_orderkey", "o_orderdate")
-        return (l.join(o, l.l_orderkey == o.o_orderkey, "left")
+        oc = self.order_channels() if with_channel else self.order_dates()
+        ch = ["ch"] if with_channel else []
+        return (l.join(oc, l.l_orderkey == oc.order_id, "left")
                  .select(F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_partkey",
-                         "l_suppkey", as_date("o_orderdate").alias("order_date"),
-                         F.datediff(as_date("l_shipdate"), as_date("o_orderdate")).alias("raw_delay"),
-                         F.col("l_extendedprice").alias("amount")))
-
-    def order_channel_lookup(self) -> DataFrame:
-        return self.order_channels().select("order_id", "ch")
+                         "l_suppkey", "order_date",
+                         F.datediff(as_date("l_shipdate"), F.col("order_date")).alias("raw_delay"),
+                         F.col("l_extendedprice").alias("amount"), *ch))
 
     def charges(self) -> DataFrame:
         l = self.table("lineitem").select("l_suppkey", "l_shipdate", "l_returnflag",

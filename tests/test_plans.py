@@ -64,8 +64,26 @@ def test_reports_join_only_the_dimensions_they_use(spark, key, absent):
         assert table not in p, (key, table)
 
 
-@pytest.mark.parametrize("key", ["kpi_mart", "budget_variance", "budget_variance_monthly"])
-def test_budget_reports_scan_the_fact_once(spark, key):
-    # budget (N-1 base) and actuals (N) come from one aggregate: one lineitem scan
+@pytest.mark.parametrize("key", ["budget_variance", "budget_status_counts", "budget_variance_monthly"])
+def test_budget_reports_join_the_budget_and_prune_the_orders_by_year(spark, key):
+    # actuals of N LEFT JOIN the budget table built from N-1: every scan of orders is bounded by dates
     p = formatted(spark, key)
-    assert p.count("lineitem.parquet") == 1
+    scans = [x for x in p.splitlines() if "PushedFilters" in x and "o_orderdate" in x]
+    assert scans and all("GreaterThanOrEqual(o_orderdate" in x and "LessThan(o_orderdate" in x for x in scans)
+
+
+@pytest.mark.parametrize("key", ["budget_expense", "budget_union", "charge_schedule"])
+def test_charge_plans_prune_the_lines_by_year(spark, key):
+    p = formatted(spark, key)
+    assert any("GreaterThanOrEqual(l_shipdate" in x and "LessThan(l_shipdate" in x
+               for x in p.splitlines() if "PushedFilters" in x)
+
+
+@pytest.mark.parametrize("key", ["collections_mart", "dso_alerts", "dso_monthly", "working_capital_impact"])
+def test_collections_read_the_orders_once(spark, key):
+    assert formatted(spark, key).count("orders.parquet") == 1
+
+
+@pytest.mark.parametrize("key", ["purchase_costing", "freight_ratio_trend", "pvm_mix_by_sku"])
+def test_parts_are_joined_after_aggregation(spark, key):
+    assert formatted(spark, key).count("part.parquet") == 1

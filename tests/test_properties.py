@@ -84,14 +84,13 @@ def _brute_cutoff(values, target):
 
 @settings(max_examples=15, deadline=None)
 @given(vals=st.lists(st.integers(min_value=0, max_value=50), min_size=1, max_size=40),
-       share=st.sampled_from([0.1, 0.5, 0.9, 1.0]), width=st.integers(min_value=1, max_value=12),
-       cap=st.sampled_from([0, 3, 1000]))
-def test_cutoff_matches_brute_force(spark, vals, share, width, cap):
+       share=st.sampled_from([0.1, 0.5, 0.9, 1.0]), width=st.sampled_from([None, 1, 5, 12]))
+def test_cutoff_matches_brute_force(spark, vals, share, width):
     keys = random.Random(len(vals)).sample(range(1000), len(vals))
     data = [("g", k, float(v)) for k, v in zip(keys, vals)]
     df = spark.createDataFrame(data, "g string, k long, v double")
-    got = rows(lines.running_cutoff(df, "g", ["k"], "v", share=share, bucket_width=width,
-                                    max_direct_rows=cap, partitions=3), "kept_rows", "kept_value")
+    got = rows(lines.running_cutoff(df, "g", ["k"], "v", share=share, width=width,
+                                    partitions=3), "kept_rows", "kept_value")
     ordered = [v for _, v in sorted(zip(keys, vals))]
     n, s = _brute_cutoff([float(v) for v in ordered], share * sum(vals))
     assert got[0][0] == n and float(got[0][1]) == pytest.approx(s)
@@ -106,24 +105,40 @@ def test_surrogate_keys_match_row_number(spark, keys, parts):
     assert got == {k: str(i + 1) for i, k in enumerate(sorted(keys))}
 
 
+def test_cutoff_counts_a_null_group(spark):
+    data = [(None if i < 8 else "g", i, 10.0) for i in range(10)]
+    df = spark.createDataFrame(data, "g string, k long, v double")
+    got = {r[0]: (r[1], float(r[2])) for r in rows(lines.running_cutoff(df, "g", ["k"], "v", share=0.5),
+                                                   "g", "kept_rows", "kept_value")}
+    assert got == {None: (4, 40.0), "g": (1, 10.0)}
+
+
+def test_surrogate_keys_over_several_columns(spark):
+    data = [(i % 7, i) for i in range(50)]
+    df = spark.createDataFrame(data, "a long, b long")
+    got = {r[:2]: r[2] for r in rows(lines.surrogate_keys(df, ["a", "b"], "%d", partitions=4))}
+    assert got == {k: str(i + 1) for i, k in enumerate(sorted(data))}
+
+
 def test_cutoff_with_one_hot_key(spark):
     # one order key carries 2,000 of 2,100 lines: the crossing bucket is split
     # by range partitioning on the full (unique) order, not handled by one task
     data = [("g", 7, i, float(1 + i % 5)) for i in range(2000)]
     data += [("g", 1000 + i, 0, 2.0) for i in range(100)]
     df = spark.createDataFrame(data, "g string, k0 long, k1 long, v double")
-    got = rows(lines.running_cutoff(df, "g", ["k0", "k1"], "v", share=0.5, bucket_width=50,
-                                    max_direct_rows=100, partitions=6), "kept_rows", "kept_value")
+    got = rows(lines.running_cutoff(df, "g", ["k0", "k1"], "v", share=0.5, width=50,
+                                    partitions=6), "kept_rows", "kept_value")
     ordered = [v for *_, v in sorted(data, key=lambda r: (r[1], r[2]))]
     n, s = _brute_cutoff(ordered, 0.5 * sum(ordered))
     assert got == [(n, pytest.approx(s))] or (got[0][0] == n and float(got[0][1]) == pytest.approx(s))
 
 
-def test_bucket_width_scales_with_sqrt_of_rows():
-    assert lines.bucket_width_for(0, 149_999, 600_000) == 194
-    w = lines.bucket_width_for(0, 6e11, 6e11)
-    assert 6e11 / w < 1e6  # bucket rows per group stay under a million at 6e11 lines
-    assert lines.bucket_width_for(None, None, 0) == 1
+@pytest.mark.parametrize("lo,hi,n,width", [(0, 149_999, 600_000, 194), (0, 9, 100, 1), (0, 10 ** 9 - 1, 10_000, 10 ** 7)])
+def test_bucket_width_scales_with_sqrt_of_rows(spark, lo, hi, n, width):
+    step = max(1, (hi - lo) // max(1, n - 1))
+    keys = spark.range(n).select(F.when(F.col("id") == n - 1, F.lit(hi)).otherwise(
+        F.least(F.lit(hi), F.lit(lo) + F.col("id") * step)).alias("k"))
+    assert spark.range(1).select(lines.bucket_width(keys, "k").alias("w")).first().w == width
 
 
 @settings(max_examples=10, deadline=None)

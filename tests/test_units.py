@@ -166,7 +166,7 @@ def test_zscore_constant_series_has_no_alert(spark):
 def test_running_cutoff(spark, values, target, kept):
     df = spark.createDataFrame([("m", i, v) for i, v in enumerate(values)], "g string, k long, v double")
     for width in (1, 2, 1000):  # one row per bucket, mixed, one bucket
-        out = rows(lines.running_cutoff(df, "g", ["k"], "v", target=target, bucket_width=width),
+        out = rows(lines.running_cutoff(df, "g", ["k"], "v", target=target, width=width),
                    "kept_rows", "kept_value")
         assert out == [(kept, pytest.approx(sum(values[:kept])))]
 
