@@ -18,9 +18,9 @@ from pyspark.sql.functions import pandas_udf
 
 from .sampling import id_fold, sample_by_class
 
-CHUNK = 2048  # bytes compressed at once; a longer text would be its own dictionary
+CHUNK = 4096  # bytes compressed at once; a longer text would be its own dictionary
 DOCUMENTS, PIECE = 48, 2048  # documents a language, and bytes that the dictionary takes of each, chunk by chunk
-LEVEL = 1
+LEVEL = 5  # lower levels search the dictionary too coarsely
 MARGIN = 0.02  # relative lead over the second language below which the answer is rejected
 SHARPNESS = 60.0
 SCHEMA = "lang_pred string, score double, rejected boolean"
