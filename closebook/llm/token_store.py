@@ -32,7 +32,7 @@ from .words import mix
 
 BLOCK_IDS = 1 << 20
 BUCKET_KEYS = 50_000
-CACHE = 300_000  # pieces whose ids a worker remembers
+CACHE = 600_000  # pieces whose ids a worker remembers (about 120 MB)
 GAMMA = 2.0  # slots a key on each level of the perfect hash
 
 
@@ -40,7 +40,9 @@ class Encoder:
     """Ids of texts, equal to the tokenizer's own; each distinct white-space separated piece is encoded once.
 
     The tokenizer drops white space and never joins across it, and splits
-    between a letter or digit and a following full stop or comma. Texts with
+    between a letter or digit and a following full stop or comma. Words of
+    Latin letters alone are lower-cased first and go to the tokenizer many at
+    once, as each ends with the next token that closes a word. Texts with
     the control characters on which Python and the tokenizer differ about white
     space go to the tokenizer whole.
     """
@@ -50,32 +52,58 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.kind, self.cache = kind, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _plain(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    @staticmethod
-    def _split(piece: str) -> tuple[str, str]:
-        core, tail = (piece[:-1], piece[-1]) if piece[-1] in ".," and piece[-2:-1].isalnum() else (piece, "")
-        return (core.lower() if core.isascii() and core.isalnum() else core), tail
+    def _words(self, words: list[str]) -> list[bytes]:
+        out = []
+        for lo in range(0, len(words), 2000):
+            some = words[lo:lo + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some):  # a vocabulary that does not close words
+                out += self._plain(some)
+                continue
+            raw, ends = ids.tobytes(), (ends * ids.itemsize).tolist()
+            out += [raw[i:j] for i, j in zip([0, *ends], ends)]
+        return out
 
     def _learn(self, pieces: set[str]) -> None:
-        parts = {p: self._split(p) for p in pieces}
-        new = list({x for pair in parts.values() for x in pair if x} - self.cache.keys())
-        self.cache.update(zip(new, self._plain(new)))
-        for p, (core, tail) in parts.items():
-            self.cache[p] = self.cache[core] + (self.cache[tail] if tail else b"")
+        """Remember the ids of ``pieces``: of their core, and of a final stop or comma after a Latin letter or digit."""
+        cache, words, others = self.cache, set(), set()
+        names, cores, tails = [], [], []  # pieces put together from others
+        for p in pieces:
+            core, tail = (p[:-1], p[-1]) if p[-1] in ".," and p[-2:-1].isalnum() and p[-2] < "\u0100" else (p, "")
+            if core.isalpha() and max(core) < "\u0100":
+                core = core.lower()
+                if core not in cache:
+                    words.add(core)
+            elif core not in cache:
+                others.add(core)
+            if tail or core != p:
+                names.append(p)
+                cores.append(core)
+                tails.append(tail)
+        others.update({".", ","} - cache.keys())
+        for some, encode in ((list(words), self._words), (list(others), self._plain)):
+            cache.update(zip(some, encode(some)))
+        ends = {"": b"", ".": cache["."], ",": cache[","]}
+        cache.update(zip(names, [cache[core] + ends[tail] for core, tail in zip(cores, tails)]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as raw bytes."""
         odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
         pieces = [[] if o else t.split() for t, o in zip(texts, odd)]
-        new = set(chain.from_iterable(pieces)) - self.cache.keys()
+        own = set(chain.from_iterable(pieces))
+        new = own - self.cache.keys()
         if new:
-            if len(self.cache) + len(new) > CACHE:
-                self.cache.clear()
-                new = set(chain.from_iterable(pieces))
+            if len(self.cache) + 2 * len(new) > CACHE:  # keep what this batch uses
+                self.cache = {p: self.cache[p] for p in own - new}
             self._learn(new)
         get = self.cache.__getitem__
         return [self._plain([t])[0] if o else b"".join(map(get, p)) for t, p, o in zip(texts, pieces, odd)]
@@ -87,11 +115,14 @@ def _id_kind(tokenizer_json: str, end_id: int) -> str:
 
 
 def _pack(ordered: DataFrame, tokenizer_json: str, kind: str, end_id: int) -> DataFrame:
-    shared = ordered.sparkSession.sparkContext.broadcast(tokenizer_json)
+    # a worker keeps the broadcast dictionary, and so the encoder put into it, from task to task
+    shared = ordered.sparkSession.sparkContext.broadcast({"json": tokenizer_json})
 
     def run(batches):
         from pyspark import TaskContext
-        part, encode, end = TaskContext.get().partitionId(), Encoder(shared.value, kind), np.array([end_id], kind).tobytes()
+        part, end, kept = TaskContext.get().partitionId(), np.array([end_id], kind).tobytes(), shared.value
+        encode = kept.setdefault("encoder", None) or Encoder(kept["json"], kind)
+        kept["encoder"] = encode
         width, block = len(end), 0
         keys, sizes, payload, held = [], [], [], 0
 
@@ -103,8 +134,8 @@ def _pack(ordered: DataFrame, tokenizer_json: str, kind: str, end_id: int) -> Da
                 names=["part", "block", "width", "ids", "keys", "sizes", "payload"])
 
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                some = batch.slice(lo, 256)
+            for lo in range(0, len(batch), 512):
+                some = batch.slice(lo, 512)
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 for key, raw in zip(some.column(0).to_pylist(), encode(texts)):
                     keys.append(key)
