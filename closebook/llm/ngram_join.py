@@ -62,37 +62,34 @@ def _signature(tokens: np.ndarray) -> tuple[np.uint64, np.uint64]:
 
 
 def _prefixes(docs: DataFrame, k: int, num: int, den: int, bins: np.ndarray) -> DataFrame:
-    """Keys, n, node, sig and the prefixes of every row; those of the further orders as 32-bit values."""
+    """Keys, n, node, sig and the prefix under order one of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(np.minimum(bins, (1 << 24) - 1).astype(np.uint32))
 
     def run(batches):
         counts = shared.value
         for batch in batches:
-            n, node, sig, prefix, others = [], [], [], [], [[] for _ in ORDERS]
+            n, node, sig, prefix = [], [], [], []
             for _, grams in shingle_hashes(batch.column(1), k):
                 tokens = np.unique(grams)
-                first, further = tokens[:0], [np.zeros(0, np.uint32)] * len(ORDERS)
+                first = tokens[:0]
                 if len(tokens):
                     rank = counts[(tokens >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(40)
                     rank |= mix(tokens) >> np.uint64(24)
                     keep = _prefix_length(len(tokens), num, den)
                     first = tokens[np.argsort(rank, kind="stable")[:keep]]
-                    further = [_smallest(mix(tokens ^ np.uint64(seed)), keep) for seed in ORDERS]
                 a, b = _signature(tokens)
                 n.append(len(tokens))
                 node.append(a)
                 sig.append(b)
                 prefix.append(first.view(np.int64))
-                for kept, more in zip(others, further):
-                    kept.append(more.view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), batch.column(3), pa.array(n, pa.int64()), pa.array(np.array(node, np.uint64).view(np.int64)),
                  pa.array(np.array(sig, np.uint64).view(np.int64)),
-                 _lists(prefix, np.int64), *(_lists(x, np.int32) for x in others)],
-                names=["doc_id", "key_a", "key_b", "n", "node", "sig", "prefix", "second", "third"])
+                 _lists(prefix, np.int64)],
+                names=["doc_id", "key_a", "key_b", "n", "node", "sig", "prefix"])
 
     return docs.mapInArrow(run, "doc_id long, key_a long, key_b int, n long, node long, sig long, "
-                               "prefix array<long>, second array<int>, third array<int>")
+                               "prefix array<long>")
 
 
 def _smallest(ranks: np.ndarray, keep: int) -> np.ndarray:
@@ -105,33 +102,37 @@ def _lists(arrays: list[np.ndarray], kind: type) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([*arrays, np.zeros(0, kind)])))
 
 
-def _whole_sets(texts: DataFrame, k: int) -> DataFrame:
-    """node and the whole set (as bytes) of every text with words."""
+def _whole_sets(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """node, n, the whole set (as bytes) and its prefixes under the further orders, of every text with words."""
     def run(batches):
         for batch in batches:
             sets = [np.unique(grams) for _, grams in shingle_hashes(batch.column(0), k) if len(grams)]
+            orders = [[_smallest(mix(x ^ np.uint64(seed)), _prefix_length(len(x), num, den)).view(np.int32) for x in sets]
+                      for seed in ORDERS]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(_signature(x)[0].astype(np.int64)) for x in sets], pa.int64()),
-                 pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "tokens"])
+                 pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()),
+                 *(_lists(x, np.int32) for x in orders)], names=["node", "n", "tokens", "second", "third"])
 
-    return texts.mapInArrow(run, "node long, tokens binary")
+    return texts.mapInArrow(run, "node long, n long, tokens binary, second array<int>, third array<int>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The candidate pairs (a, b) that pass the further orders and whose whole sets link."""
-    nodes = table.filter("n > 0").dropDuplicates(["node"])
-    side = lambda x: nodes.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "second", "third")))
-    passed = materialize(
-        pairs.join(side("a"), "a").join(side("b"), "b")
-        .filter((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-                & F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
-        .select("a", "b"), "candidates")
-    wanted = passed.select(F.col("a").alias("node")).unionByName(passed.select(F.col("b").alias("node"))).distinct()
+    """The candidate pairs (a, b) that pass the further orders and whose whole sets link.
+
+    Sets are computed again, from one document of each candidate node.
+    """
+    pairs = materialize(pairs, "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     ids = (table.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep_id"))
            .select("rep_id").distinct())
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi").select("text")
-    sets = materialize(_whole_sets(texts, k).dropDuplicates(["node"]), "sets")
-    whole = lambda x: sets.select(F.col("node").alias(x), F.col("tokens").alias(f"tokens_{x}"))
+    sets = materialize(_whole_sets(texts, k, num, den).dropDuplicates(["node"]), "sets")
+    side = lambda x: sets.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "tokens", "second", "third")))
+    passed = (pairs.join(side("a"), "a").join(side("b"), "b")
+              .filter((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+                      & F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
+              .select("a", "b", "tokens_a", "tokens_b"))
 
     def run(batches):
         for batch in batches:
@@ -143,8 +144,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, k: int, num:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["a", "b"])
 
-    joined = passed.join(whole("a"), "a").join(whole("b"), "b").select("a", "b", "tokens_a", "tokens_b")
-    return joined.mapInArrow(run, "a long, b long")
+    return passed.mapInArrow(run, "a long, b long")
 
 
 def _across(common: DataFrame, labels: DataFrame) -> DataFrame:
