@@ -145,3 +145,13 @@ def test_the_dynamic_programme_finds_the_best_segmentation(spark):
 
 def test_personal_data_empty_table(spark):
     assert pii.personal_data(cases.frame(spark, [])).count() == 0
+
+
+def test_quality_fit_takes_a_document_once(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet").limit(200) for t in ("documents", "labels"))
+    hot = docs.join(labels, "doc_id").filter("crc32(cast(doc_id AS string)) % 3 <> 1").orderBy("doc_id").select(docs.columns).limit(1)
+    more = docs
+    for _ in range(3):
+        more = more.unionByName(hot.crossJoin(spark.range(100)).drop("id"))
+    plain, repeated = quality.fit(docs, labels), quality.fit(more, labels)
+    assert plain.base == repeated.base and all(np.array_equal(a, b) for a, b in zip(plain.tables, repeated.tables))
