@@ -244,35 +244,36 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS, max_zones: int = MAX_ZONES, i
         text_col: str = "text") -> SegmentModel:
     """Learn from at most ``max_zones`` different zones (up to 400 characters) of at most ``max_docs`` documents.
 
-    Documents with a digit or @ sign are chosen by a hash of their id and text;
-    zones of the same form (letters and digits replaced) count once.
+    Documents with a digit or @ sign are chosen by a hash of their id and text,
+    on the hashes alone; zones of the same form (letters and digits replaced)
+    count once, and only the forms that are learned reach the driver.
     """
     spread = F.xxhash64(F.col(id_col), F.col(text_col), F.lit(8))
-    chosen = (docs.select(spread.alias("spread"), F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-              .select("spread", "text").orderBy("spread").limit(max_docs))
+    able = docs.select(spread.alias("spread"), F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]"))
+    chosen = able.join(able.select("spread").distinct().orderBy("spread").limit(max_docs), "spread", "left_semi").select("spread", "text")
 
     def run(batches):
         for batch in batches:
-            order, found, gold = [], [], []
+            first: dict[tuple[str, str], tuple[int, str]] = {}
             for spread, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 base = base_spans(text)
                 for a, b in zones(text):
                     if b - a <= 400:
                         zone, inside = training_zone(text, a, b, base)
-                        order.append(spread)
-                        found.append(zone)
-                        gold.append(",".join(f"{x}:{k}:{y}" for x, k, y in inside))
-            yield pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(found, pa.string()), pa.array(gold, pa.string())],
-                                             names=["spread", "zone", "gold"])
-
-    rows = chosen.mapInArrow(run, "spread long, zone string, gold string").collect()
-    examples, forms = [], set()
-    for row in sorted(rows, key=lambda r: (r.spread, r.zone)):
+                        form = (re.sub("[a-z]+", "a", re.sub("[0-9]", "0", zone)), ",".join(f"{x}:{k}:{y}" for x, k, y in inside))
+                        first[form] = min(first.get(form, (spread, zone)), (spread, zone))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in first.values()], pa.int64()), *(pa.array(x, pa.string()) for x in (
+                    [x[1] for x in first.values()], [x[0] for x in first], [x[1] for x in first]))],
+                names=["spread", "zone", "form", "gold"])
+
+    rows = (chosen.mapInArrow(run, "spread long, zone string, form string, gold string").groupBy("form", "gold")
+            .agg(F.min(F.struct("spread", "zone")).alias("first")).select("first.spread", "first.zone", "gold")
+            .orderBy("spread", "zone", "gold").limit(max_zones).collect())
+    examples = []
+    for row in rows:
         gold = [tuple(map(int, g.split(":"))) for g in row.gold.split(",") if g]
-        form = (re.sub("[a-z]+", "a", re.sub("[0-9]", "0", row.zone)), row.gold)
-        if form not in forms and len(forms) < max_zones:
-            forms.add(form)
-            examples += [(row.zone, gold), *rewritten(row.zone, gold)]
+        examples += [(row.zone, gold), *rewritten(row.zone, gold)]
     return train(examples + [(z, []) for z in NOT_PERSONAL])
 
 

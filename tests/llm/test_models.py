@@ -155,3 +155,29 @@ def test_quality_fit_takes_a_document_once(spark):
         more = more.unionByName(hot.crossJoin(spark.range(100)).drop("id"))
     plain, repeated = quality.fit(docs, labels), quality.fit(more, labels)
     assert plain.base == repeated.base and all(np.array_equal(a, b) for a, b in zip(plain.tables, repeated.tables))
+
+
+def test_personal_data_fit_collects_forms_only(spark, monkeypatch):
+    """Many zones of few forms: only the forms reach the driver, and the model is that of all zones sorted there."""
+    rows = [(i, " word ".join(f"549-555-{1000 + 40 * i + j}" if j % 2 else f"a{j}@b{i}.com" for j in range(40)), "en", "s") for i in range(30)]
+    docs = cases.frame(spark, rows, extra=False)
+    sizes, kind = [], type(docs)
+    plain = kind.collect
+
+    def collect(self):
+        out = plain(self)
+        sizes.append(len(out))
+        return out
+
+    monkeypatch.setattr(kind, "collect", collect)
+    model = pii.fit(docs, max_zones=5)
+    assert sizes and max(sizes) <= 5
+    examples, forms = [], set()
+    found = [(r.h, r.text[a:b], pii.training_zone(r.text, a, b, pii.base_spans(r.text))[1])
+             for r in plain(docs.selectExpr("xxhash64(doc_id, text, 8) AS h", "text")) for a, b in pii.zones(r.text) if b - a <= 400]
+    for _, zone, gold in sorted(found):
+        form = re.sub("[a-z]+", "a", re.sub("[0-9]", "0", zone)), str(gold)
+        if form not in forms and len(forms) < 5:
+            forms.add(form)
+            examples += [(zone, gold), *pii.rewritten(zone, gold)]
+    assert np.array_equal(model.weights, pii.train(examples + [(z, []) for z in pii.NOT_PERSONAL]).weights)
