@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language, pii, quality, token_store
+from .conversations import damaged_and_repaired
 from .decontamination import contamination
 from .line_dedup import duplicate_lines
+from .merkle import document_manifest
 from .mixing import mixture
 from .ngram_join import jaccard_components
 from .sharding import assign_shards
+from .suffix_family import remove_repeated_strings
 from .topk import exact_topk, integer_vector
 
 
@@ -69,6 +72,21 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_strings(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_lightest_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_ngram_jaccard_join, op3_source_mixture, op4_quality_gam, op5_winnowing_decontamination,
-    op6_token_store, op7_line_edit_join, op8_pii_semi_crf, op9_feistel_shards, op10_compression_language)}
+    op6_token_store, op7_line_edit_join, op8_pii_semi_crf, op9_feistel_shards, op10_compression_language,
+    op11_suffix_family, op12_lightest_derivation, op13_merkle_manifest)}

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_query_is_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names
 
 
