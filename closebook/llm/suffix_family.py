@@ -13,14 +13,14 @@ a block: it is sorted by the hash of the anchor, then by that of the whole block
 (128 bits), then by position. Entries with equal blocks are long matches, and
 all but the first position are removed whole. Windows can also agree where
 blocks differ, but then their anchors agree: blocks of an anchor with several
-different blocks are looked up in the texts, and their windows are compared one by
-one by their hashes, so no match of ``length`` bytes is lost. No text is sorted
-or moved but those.
+different blocks are cut out of the texts, dealt by anchor, and their windows
+compared one by one by their hashes, so no match of ``length`` bytes is lost. No
+text is moved but those that hold such blocks.
 
 Equal blocks are thinned where they are read: a task sends on one entry of each,
 and the rest as removed spans. Anchors with ``HOT`` blocks or more in one batch
-of rows leave a mark in the arrays and go straight to the windows, which are
-spread by their own hashes.
+of rows leave a mark in the arrays, and their blocks' windows are dealt by their
+own hashes instead, as are those of anchors with more than ``GROUP`` blocks.
 """
 
 from __future__ import annotations
@@ -38,7 +38,8 @@ GRAM = 32
 BATCHES = 4
 PIECE = 1 << 17  # bytes hashed at a time; windows of longer texts are dealt over pieces
 HOT = 16
-MARK = 0  # the block hash of a mark
+GROUP = 20_000  # blocks of one anchor that a task compares; beyond, their windows are dealt
+MARK = -(1 << 63)  # the block hash of a mark: first of its anchor
 BINS = 1 << 20  # of the table of texts needed again, which is broadcast
 REPEATED_IDS = 100_000  # ids on several rows that may be broadcast; beyond, a join deals them
 
@@ -80,7 +81,7 @@ def blocks_of(data: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tup
     start, stop, anchor = at[new], at[np.concatenate((new[1:] - 1, [len(at) - 1]))] + length, anchor[new]
     shape = ((anchor - start) << 32 | (stop - start)).astype(np.uint64)
     block = mix((sums[stop] - sums[start]) * table["down"][start] + mix(shape))
-    return start, stop, hashes[anchor], np.where(block == MARK, np.uint64(1), block)
+    return start, stop, hashes[anchor], np.where(block == np.uint64(1 << 63), np.uint64(1), block)
 
 
 def windows_of(data: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
@@ -147,8 +148,9 @@ def _thinned(doc, row, start, reach, anchor, block, hot: int | None):
         many = np.bincount(group)[group] >= hot
         kind[many] = ASK
         marks = keep[many & np.concatenate(([True], group[1:] != group[:-1]))]
-        yield _batch(np.full(len(marks), ENTRY), anchor[marks], np.full(len(marks), MARK), doc, row[marks],
+        yield _batch(np.full(len(marks), ENTRY), anchor[marks], np.full(len(marks), MARK, np.int64), doc, row[marks],
                      start[marks], reach[marks])
+        block[keep[many]] = np.uint64(1 << 63)  # asked for as blocks of a marked anchor
     yield _batch(kind, anchor[keep], block[keep], doc, row[keep], start[keep], reach[keep])
 
 
@@ -170,90 +172,167 @@ def _suffixes(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.select("gen", "ord", "tie", "text").mapInArrow(run, _ROWS)
 
 
-def _windows(asked: DataFrame, length: int) -> DataFrame:
-    """Entries (one window each) and spans of rows (gen, ord, tie, text, blocks: start, reach)."""
+_CUTS = _ROWS + ", bytes binary"
+
+
+def _cut_out(asked: DataFrame, length: int) -> DataFrame:
+    """Blocks asked for, with their bytes (kind ASK), and the windows of blocks of marked anchors (ENTRY, SPAN).
+
+    ``asked``: gen, ord, tie, text, blocks (anchor, start, reach, spread).
+    """
     def run(batches):
         for batch in batches:
             doc = [batch.column(i).to_numpy() for i in range(3)]
             data, offs = texts_of(batch.column(3))
             blocks = batch.column(4)
             row = np.repeat(np.arange(len(batch)), np.diff(blocks.offsets.to_numpy()))
-            fields = blocks.flatten()
-            start, reach = (fields.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-            count = reach - length + 1
-            row = np.repeat(row, count)
-            at = np.repeat(start - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-            pairs = np.unique(row.astype(np.int64) << 32 | at)
-            row, at = pairs >> 32, pairs & ((1 << 32) - 1)
-            found = []
-            for lo, hi, a, b in _pieces(offs, length):
-                here = at + offs[row]
-                x, y = np.searchsorted(here, (a, b - length + 1))
-                found.append(windows_of(data[a:b], here[x:y] - a, length))
-            if found:
-                hashes = np.concatenate(found)
-                yield from _thinned(doc, row, at, np.full(len(row), length), hashes[:, 0], hashes[:, 1], None)
+            anchor, start, reach = (blocks.flatten().field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+            spread = blocks.flatten().field(3).to_numpy(zero_copy_only=False).astype(bool)
+            lo, hi = offs[row] + start, offs[row] + start + reach
+            raw = data.tobytes()
+            plain = np.flatnonzero(~spread)
+            out = _batch(np.full(len(plain), ASK), anchor[plain], np.zeros(len(plain), np.int64), doc, row[plain], start[plain], reach[plain])
+            yield _with_bytes(out, [raw[i:j] for i, j in zip(lo[plain].tolist(), hi[plain].tolist())])
+            some = np.flatnonzero(spread)
+            if len(some):
+                some = some[np.lexsort((start[some], row[some]))]
+                window, of, first, second = _window_hashes([raw[i:j] for i, j in zip(lo[some].tolist(), hi[some].tolist())], length)
+                where = some[of]
+                for out in _thinned(doc, row[where], start[where] + window, np.full(len(of), length), first, second, None):
+                    yield _with_bytes(out, [None] * len(out))
+
+    return asked.select("gen", "ord", "tie", "text", "blocks").mapInArrow(run, _CUTS)
+
+
+def _with_bytes(batch: pa.RecordBatch, raw: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=[*_NAMES, "bytes"])
+
+
+def _window_hashes(blocks: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """Of all windows of ``blocks``, in their order: place in the block, number of the block, two hashes."""
+    sizes = np.array([len(b) for b in blocks], np.int64)
+    out, lo = [], 0
+    step = max(1, PIECE // max(length, int(sizes.max(initial=1))))
+    while lo < len(blocks):
+        hi = min(len(blocks), lo + step)
+        count = sizes[lo:hi] - length + 1
+        begins = np.concatenate(([0], np.cumsum(sizes[lo:hi])[:-1]))
+        of = np.repeat(np.arange(hi - lo), count)
+        window = np.arange(len(of)) - np.repeat(np.concatenate(([0], np.cumsum(count)[:-1])), count)
+        hashes = windows_of(np.frombuffer(b"".join(blocks[lo:hi]), np.uint8), begins[of] + window, length)
+        out.append((window, of + lo, hashes[:, 0], hashes[:, 1]))
+        lo = hi
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _compared(blocks: DataFrame, length: int) -> DataFrame:
+    """Spans of windows that stand earlier in another block of their anchor; windows of anchors with too many blocks."""
+    def compare(anchor, doc, start, raw):
+        window, of, first, second = _window_hashes(raw, length)
+        order = np.lexsort((second, first, anchor[of]))  # stable: equal windows stay in the order of their places
+        a, x, y = anchor[of][order], first[order], second[order]
+        again = order[1:][(a[1:] == a[:-1]) & (x[1:] == x[:-1]) & (y[1:] == y[:-1])]
+        at = start[of[again]] + window[again]
+        row, lo, hi = _merged(of[again], at, at + length)
+        return _batch(np.full(len(row), SPAN), mix(row.astype(np.uint64) + np.uint64(1)), np.zeros(len(row), np.int64), doc, row, lo, hi - lo)
+
+    def windows(doc, start, raw):
+        window, of, first, second = _window_hashes(raw, length)
+        return _batch(np.full(len(of), ENTRY), first, second, doc, of, start[of] + window, np.full(len(of), length))
 
-    return asked.select("gen", "ord", "tie", "text", "blocks").mapInArrow(run, _ROWS)
+    def run(batches):
+        held, over = [], None  # rows of the open anchor; the anchor whose windows are dealt
+        for batch in batches:
+            rows = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()
+            if not rows:
+                continue
+            rows = rows[0]
+            anchor = rows.column(0).to_numpy()
+            doc, start = [rows.column(i).to_numpy() for i in (1, 2, 3)], rows.column(4).to_numpy().astype(np.int64)
+            raw = rows.column(5).to_pylist()
+            begins = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+            ends = np.append(begins[1:], len(anchor))
+            size = np.repeat(ends - begins, ends - begins)
+            last = begins[-1]
+            dealt = (size > GROUP) | (anchor == over if over is not None else False)
+            done = (np.arange(len(anchor)) < last) & ~dealt
+            if done.any():
+                pick = np.flatnonzero(done)
+                yield compare(anchor[pick], [x[pick] for x in doc], start[pick], [raw[i] for i in pick])
+            if dealt.any():
+                pick = np.flatnonzero(dealt)
+                yield windows([x[pick] for x in doc], start[pick], [raw[i] for i in pick])
+            over = anchor[-1] if dealt[-1] else None
+            held = [] if dealt[-1] else [rows.slice(int(last))]
+        if held:
+            rows = held[0]
+            yield compare(rows.column(0).to_numpy(), [rows.column(i).to_numpy() for i in (1, 2, 3)],
+                          rows.column(4).to_numpy().astype(np.int64), rows.column(5).to_pylist())
+
+    order = ["anchor", "gen", "ord", "tie", "start"]
+    dealt = blocks.select(*order, "bytes").repartition("anchor").sortWithinPartitions(*order)
+    return dealt.mapInArrow(run, _ROWS)
 
 
 _SCANNED = "kind int, anchor long, block long, gen int, ord long, tie long, start int, reach int, asked boolean"
-_SORTED = ["anchor", "block", "gen", "ord", "tie", "start"]
+_SORTED = ["anchor", "kind", "block", "gen", "ord", "tie", "start"]
 
 
-def _merge_scan(rows: DataFrame, now: int | None) -> DataFrame:
+def _merge_scan(rows: DataFrame, now: int | None, since: int = 0) -> DataFrame:
     """One pass over entries of the batch ``now`` and of levels, dealt by anchor and merged by sorting.
 
-    Input: kind, anchor, block, gen, ord, tie, start, reach, asked, moves.
-    Output: entries to keep (new ones, and those of levels that move), spans of
-    later equal blocks, and blocks of anchors with several blocks (ASK). Without
-    ``now`` only the spans. A task keeps two rows beside the batch it reads.
+    Input: kind, anchor, block, gen, ord, tie, start, reach, asked.
+    Output: entries to keep (of batches from ``since`` on: the new ones and those
+    of levels that merge), spans of later equal blocks, and blocks of anchors
+    with several blocks (ASK, with MARK as block if the anchor is marked).
+    Without ``now`` only the spans. A task keeps two rows beside its batch.
     """
     def run(batches):
-        last = None  # the last row seen, the first row of its block and of its anchor
+        held = None  # the first rows of the open anchor and of the open block
         for batch in batches:
             n = len(batch)
             if not n:
                 continue
-            kind, anchor, block, gen, ord_, tie, start, reach = (batch.column(i).to_numpy() for i in range(8))
-            asked, moves = (batch.column(i).to_numpy(zero_copy_only=False).astype(bool) for i in (8, 9))
-            cols = [anchor, block, gen, ord_, tie, start, reach]
-            if last is not None:  # the first rows of the open block and anchor go before this batch, to be compared only
-                cols = [np.concatenate((held, col)) for held, col in zip(last[0], cols)]
-                kind, asked = np.concatenate((last[1], kind)), np.concatenate((last[2], asked))
-                moves = np.concatenate((np.zeros(len(last[1]), bool), moves))
-            anchor, block, gen, ord_, tie, start, reach = cols
-            carried = len(anchor) - n
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(9)]
+            if held is not None:  # they go before the batch, to be compared only
+                cols = [np.concatenate((x, col)) for x, col in zip(held, cols)]
+            anchor, kind, block, gen, ord_, tie, start, reach, asked = cols
+            asked = asked.astype(bool)
+            here = np.arange(len(anchor)) >= len(anchor) - n
             entry = kind == ENTRY
-            same_anchor = np.concatenate(([False], (anchor[1:] == anchor[:-1]) & entry[1:] & entry[:-1]))
+            same_anchor = np.concatenate(([False], (anchor[1:] == anchor[:-1]) & entry[1:]))
             same = same_anchor & np.concatenate(([False], block[1:] == block[:-1]))
-            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(anchor))))
-            place = [x != x[first] for x in (gen, ord_, tie, start)]
-            again = same & (place[0] | place[1] | place[2] | place[3]) & (block != MARK)
+            number = np.arange(len(anchor))
+            first = np.maximum.accumulate(np.where(same, 0, number))
+            again = same & (block != MARK) & ((ord_ != ord_[first]) | (start != start[first]) | (gen != gen[first]) | (tie != tie[first]))
             rep = entry & ~same
-            here = np.arange(len(anchor)) >= carried
-            # a block is asked for if its anchor has another one: before it, or after it
-            later = np.zeros(len(anchor), bool)
-            reps = np.flatnonzero(rep)
-            later[reps[:-1]] = anchor[reps[1:]] == anchor[reps[:-1]]
-            several = rep & (same_anchor | later) & ~asked & (block != MARK) & (now is not None)
-            keep = rep & here & ((gen == now) | moves) & (now is not None)
-            span = (again & here & ((gen == now) | (now is None))) | ((kind == SPAN) & here)
-            ask = several | ((kind == ASK) & here)
-            pick = np.concatenate((np.flatnonzero(keep), np.flatnonzero(span), np.flatnonzero(ask)))
-            kinds = np.repeat(np.array([ENTRY, SPAN, ASK], np.int32), [keep.sum(), span.sum(), ask.sum()])
+            span = (again & here & ((now is None) | (gen == now))) | ((kind == SPAN) & here)
+            none = np.zeros(0, np.int64)
+            keep = ask = none
+            if now is not None:
+                # a block is asked for if its anchor has another one: before it, or after it
+                later, reps = np.zeros(len(anchor), bool), np.flatnonzero(rep)
+                later[reps[:-1]] = anchor[reps[1:]] == anchor[reps[:-1]]
+                several = rep & (same_anchor | later) & ~asked & (block != MARK)
+                marked = block[np.maximum.accumulate(np.where(same_anchor, 0, number))] == MARK
+                asked = asked | several
+                keep = np.flatnonzero(rep & here & (gen >= since))
+                ask = np.flatnonzero(several | ((kind == ASK) & here))
+            pick = np.concatenate((keep, np.flatnonzero(span), ask))
+            kinds = np.repeat(np.array([ENTRY, SPAN, ASK], np.int32), [len(keep), span.sum(), len(ask)])
+            blocks = block[pick]
+            if len(ask):
+                blocks[-len(ask):] = np.where(marked[ask], MARK, block[ask])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds), *(pa.array(x[pick]) for x in (anchor, block, gen, ord_, tie, start, reach)),
-                 pa.array((asked | several)[pick])],
+                [pa.array(kinds), pa.array(anchor[pick]), pa.array(blocks),
+                 *(pa.array(x[pick]) for x in (gen, ord_, tie, start, reach, asked))],
                 names=[c.split()[0] for c in _SCANNED.split(", ")])
-            end = len(anchor) - 1
-            if not entry[end]:
-                last = None
-                continue
-            held = sorted({int(np.searchsorted(anchor, anchor[end])), int(first[end])})
-            last = ([x[held] for x in (anchor, block, gen, ord_, tie, start, reach)], kind[held], (asked | several)[held])
+            held = None
+            if entry[-1]:
+                some = sorted({int(np.searchsorted(anchor, anchor[-1])), int(first[-1])})
+                held = [x[some] for x in (anchor, kind, block, gen, ord_, tie, start, reach, asked)]
 
-    dealt = rows.select("kind", *_SORTED, "reach", "asked", "moves").repartition("anchor").sortWithinPartitions("kind", *_SORTED)
+    dealt = rows.select(*_SORTED, "reach", "asked").repartition("anchor").sortWithinPartitions(*_SORTED)
     return dealt.mapInArrow(run, _SCANNED)
 
 
@@ -280,16 +359,16 @@ class SuffixFamily:
             merging.append(self.levels.pop())
             size *= 2
         rows = _suffixes(docs.withColumn("gen", F.lit(now)), self.length, self.gram).select(
-            "*", F.lit(False).alias("asked"), F.lit(False).alias("moves"))
-        for some, moves in ((self.levels, False), (merging, True)):
-            for _, _, level in some:
-                rows = rows.unionByName(level.withColumn("moves", F.lit(moves)))
+            "*", F.lit(False).alias("asked"))
+        for _, _, level in self.levels + merging:
+            rows = rows.unionByName(level)
         path = new_folder(self.spark, "suffixes")
-        _merge_scan(rows, now).write.partitionBy("kind").option("compression", "zstd").parquet(path)
+        _merge_scan(rows, now, now + 1 - size).write.partitionBy("kind").option("compression", "zstd").parquet(path)
         scanned = self.spark.read.schema(_SCANNED).parquet(path)
         self.levels.append((size, f"{path}/kind={ENTRY}", scanned.filter(F.col("kind") == ENTRY)))
         self.spans.append(scanned.filter(F.col("kind") == SPAN).select("gen", "ord", "tie", "start", "reach"))
-        self.asked.append(scanned.filter(F.col("kind") == ASK).select("gen", "ord", "tie", "start", "reach"))
+        self.asked.append(scanned.filter(F.col("kind") == ASK).select(
+            "gen", "ord", "tie", "anchor", "start", "reach", (F.col("block") == MARK).alias("spread")))
         for _, old, _ in merging:
             place = self.spark._jvm.org.apache.hadoop.fs.Path(old)
             place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
@@ -300,11 +379,17 @@ class SuffixFamily:
         blocks, spans = self.asked[0], self.spans[0]
         for more, others in zip(self.asked[1:], self.spans[1:]):
             blocks, spans = blocks.unionByName(more), spans.unionByName(others)
-        asked = materialize(blocks.distinct().groupBy("gen", "ord", "tie").agg(
-            F.collect_list(F.struct("start", "reach")).alias("blocks")), "asked")
+        marked = blocks.filter("spread").select("anchor", F.lit(True).alias("marked")).distinct()
+        blocks = blocks.drop("spread").distinct().join(marked, "anchor", "left")
+        block = F.struct("anchor", "start", "reach", F.coalesce("marked", F.lit(False)).alias("spread"))
+        asked = materialize(blocks.groupBy("gen", "ord", "tie").agg(F.collect_list(block).alias("blocks")), "asked")
         texts = docs.select("gen", "ord", "tie", "text", _bin()).join(_bins(asked), "bin", "left_semi").join(asked, ["gen", "ord", "tie"])
-        windows = _windows(texts, self.length).withColumn("asked", F.lit(False)).withColumn("moves", F.lit(False))
-        spans = spans.unionByName(_merge_scan(windows, None).select("gen", "ord", "tie", "start", "reach"))
+        cuts = materialize(_cut_out(texts, self.length), "cuts")
+        compared = materialize(_compared(cuts.filter(F.col("kind") == ASK), self.length), "compared")
+        windows = cuts.filter(F.col("kind") != ASK).drop("bytes").unionByName(compared.filter(F.col("kind") == ENTRY))
+        dealt = _merge_scan(windows.withColumn("asked", F.lit(False)), None)
+        for more in (compared.filter(F.col("kind") == SPAN), dealt):
+            spans = spans.unionByName(more.select("gen", "ord", "tie", "start", "reach"))
         return spans.groupBy("gen", "ord", "tie").agg(F.collect_list(F.struct("start", "reach")).alias("spans"))
 
 
@@ -390,12 +475,12 @@ def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = G
     shares = [i / batches for i in range(1, batches)]
     bounds = sorted({int(x) for x in docs.select(F.col(id_col).cast("long").alias("doc_id")).approxQuantile("doc_id", shares, 0.01)}) if shares else []
     plain = plain.withColumn("gen", sum(((F.col("ord") > b).cast("int") for b in bounds), F.lit(0)))
-    family = SuffixFamily(spark, length, gram)
+    family, single = SuffixFamily(spark, length, gram), plain.filter("not copy")
     for i in range(len(bounds) + 1):
         low = F.lit(True) if i == 0 else F.col("doc_id") > bounds[i - 1]
         high = F.lit(True) if i == len(bounds) else F.col("doc_id") <= bounds[i]
-        family.add(plain.filter(low & (high | F.col("doc_id").isNull() if i == 0 else high)).select("ord", "tie", "text"))
-    spans = materialize(family.removed(plain), "spans")
+        family.add(single.filter(low & (high | F.col("doc_id").isNull() if i == 0 else high)).select("ord", "tie", "text"))
+    spans = materialize(family.removed(single), "spans")
     bins = materialize(spans.select(_bin()).distinct(), "bins")
     keyed = plain.withColumn("bin", _bin())
     nothing = F.array().cast("array<struct<start:int,stop:int>>")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from closebook.llm import suffix_family
 from closebook.llm.suffix_family import HOT, SuffixFamily, blocks_of, remove_repeated_strings
 
 from . import cases
@@ -85,6 +86,15 @@ def test_common_passages_and_copies(spark):
     rows = [(i, f"{cases.text(100 + i, i % 7)} {passage} {cases.text(500 + i, 6)}") for i in range(8 * HOT)]
     rows += [(1000 + i, other) for i in range(150)]
     same(remove_repeated_strings(frame(spark, rows).repartition(3)), rows, 100)
+    spread = frame(spark, rows).repartition(40)  # no batch of rows sees the anchors as hot
+    same(remove_repeated_strings(spread), rows, 100)
+
+
+def test_anchors_with_too_many_blocks_for_a_task(spark, monkeypatch):
+    monkeypatch.setattr(suffix_family, "GROUP", 3)
+    monkeypatch.setattr(suffix_family, "HOT", 10_000)
+    rows = pieced(11, 150, "abcdef", 9)
+    same(remove_repeated_strings(frame(spark, rows), 20, 6), rows, 20)
 
 
 def test_repeated_ids(spark):
