@@ -316,7 +316,7 @@ def _merge_scan(rows: DataFrame, now: int | None, since: int = 0) -> DataFrame:
                 several = rep & (same_anchor | later) & ~asked & (block != MARK)
                 marked = block[np.maximum.accumulate(np.where(same_anchor, 0, number))] == MARK
                 asked = asked | several
-                keep = np.flatnonzero(rep & here & (gen >= since))
+                keep = np.flatnonzero(rep & here & (gen >= since))  # since > now: none
                 ask = np.flatnonzero(several | ((kind == ASK) & here))
             pick = np.concatenate((keep, np.flatnonzero(span), ask))
             kinds = np.repeat(np.array([ENTRY, SPAN, ASK], np.int32), [len(keep), span.sum(), len(ask)])
@@ -353,7 +353,8 @@ class SuffixFamily:
         self.spark, self.length, self.gram = spark, length, gram
         self.batches, self.levels, self.spans, self.asked = 0, [], [], []
 
-    def add(self, docs: DataFrame) -> None:
+    def add(self, docs: DataFrame, last: bool = False) -> None:
+        """Add a batch. After the ``last`` one nothing is compared with the levels any more: none is written."""
         now, size, merging = self.batches, 1, []
         while self.levels and self.levels[-1][0] == size:
             merging.append(self.levels.pop())
@@ -363,9 +364,13 @@ class SuffixFamily:
         for _, _, level in self.levels + merging:
             rows = rows.unionByName(level)
         path = new_folder(self.spark, "suffixes")
-        _merge_scan(rows, now, now + 1 - size).write.partitionBy("kind").option("compression", "zstd").parquet(path)
+        scan = _merge_scan(rows, now, now + 1 if last else now + 1 - size)
+        scan.write.partitionBy("kind").option("compression", "zstd").parquet(path)
         scanned = self.spark.read.schema(_SCANNED).parquet(path)
-        self.levels.append((size, f"{path}/kind={ENTRY}", scanned.filter(F.col("kind") == ENTRY)))
+        if last:
+            merging, self.levels = merging + self.levels, []
+        else:
+            self.levels.append((size, f"{path}/kind={ENTRY}", scanned.filter(F.col("kind") == ENTRY)))
         self.spans.append(scanned.filter(F.col("kind") == SPAN).select("gen", "ord", "tie", "start", "reach"))
         self.asked.append(scanned.filter(F.col("kind") == ASK).select(
             "gen", "ord", "tie", "anchor", "start", "reach", (F.col("block") == MARK).alias("spread")))
@@ -479,7 +484,8 @@ def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = G
     for i in range(len(bounds) + 1):
         low = F.lit(True) if i == 0 else F.col("doc_id") > bounds[i - 1]
         high = F.lit(True) if i == len(bounds) else F.col("doc_id") <= bounds[i]
-        family.add(single.filter(low & (high | F.col("doc_id").isNull() if i == 0 else high)).select("ord", "tie", "text"))
+        family.add(single.filter(low & (high | F.col("doc_id").isNull() if i == 0 else high)).select("ord", "tie", "text"),
+                   last=i == len(bounds))
     spans = materialize(family.removed(single), "spans")
     bins = materialize(spans.select(_bin()).distinct(), "bins")
     keyed = plain.withColumn("bin", _bin())
