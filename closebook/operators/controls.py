@@ -48,3 +48,30 @@ def control_growth(mart: DataFrame) -> DataFrame:
     return (agg.select("yr", millions(F.col("revenue"), 2).alias("revenue_m"),
                        pct(F.col("revenue") - prev, prev, 1).alias("growth_pc"))
                .orderBy("yr"))
+
+
+def control_pack(mart: DataFrame, year: int) -> DataFrame:
+    """Q1-Q4 from one pass over the lines: one row per year, per channel of ``year`` and per category of ``year``.
+
+    The lines are summed up once to (year, channel, category) cells with exact
+    money; GROUPING SETS over the cells give the three grains with their grain
+    id, and each figure is read from its grain: margin rate and growth from the
+    years, shares from the grain's total. NULL labels are groups of their own.
+    """
+    cells = agg_exact(mart, ["yr", "ch", "cat"], revenue=("money", "revenue"), margin=("money", "margin"))
+    sets = [["yr"], ["yr", "ch"], ["yr", "cat"]]
+    sums = cells.groupingSets([[F.col(c) for c in s] for s in sets], "yr", "ch", "cat").agg(
+        F.grouping_id().alias("gid"), F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"))
+    # the grain id has a bit for each of (yr, ch, cat) that is summed over
+    grain = F.when(F.col("gid") == 3, "year").when(F.col("gid") == 1, "channel").otherwise("category")
+    rows = sums.withColumn("grain", grain).filter((F.col("grain") == "year") | (F.col("yr") == F.lit(year)))
+    total = F.sum("revenue").over(Window.partitionBy("grain"))
+    before = F.lag("revenue").over(Window.partitionBy("grain").orderBy("yr"))
+    by_year = F.col("grain") == "year"
+    key = F.when(by_year, F.col("yr").cast("string")).when(F.col("grain") == "channel", F.col("ch")).otherwise(F.col("cat"))
+    return rows.select(
+        "grain", key.alias("key"), millions(F.col("revenue"), 2).alias("revenue_m"),
+        F.when(by_year, millions(F.col("margin"), 2)).alias("margin_m"),
+        F.when(by_year, pct(F.col("margin"), F.col("revenue"), 1)).alias("margin_pc"),
+        F.when(by_year, pct(F.col("revenue") - before, before, 1)).alias("growth_pc"),
+        F.when(~by_year, pct(F.col("revenue"), total, 1)).alias("share_pc"))

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from closebook.functions.dates import as_date, in_years
 from closebook.functions.numeric import dround, rnd
 from closebook.operators import (controls, drift, lines, marts, planning, pnl, purchasing, pvm,
-                                 receivables, variance)
+                                 receivables, series, variance)
 from closebook.sources.star import table_row_counts
 from closebook.sources.testdata import LINE_KEYS, TestData
 
@@ -558,3 +558,35 @@ def q_pnl_operating(spark, sf_dir):
 @query("revenue_zscores")
 def q_revenue_zscores(spark, sf_dir):
     return drift.revenue_zscores(_cube(_td(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# calendar-exact series, reduced facts, several grains in one pass
+# --------------------------------------------------------------------------
+
+@query("dso_yoy_dense")
+def q_dso_yoy_dense(spark, sf_dir):
+    return series.dso_report_dense(_cmart(_td(spark, sf_dir)))
+
+
+@query("charges_baseline_dense")
+def q_charges_baseline_dense(spark, sf_dir):
+    base = series.baseline_dense(_charges_m(_td(spark, sf_dir)), ["cc_id", "nature"], "amount")
+    return _round(base, 2, "amount", "mean12", "std12")
+
+
+@query("headline_kpis_reduced")
+def q_headline_kpis_reduced(spark, sf_dir):
+    td, y = _td(spark, sf_dir), PARAMS["year"]
+    return pnl.headline_kpis(marts.sales_mart(td.sales_of_years(y - 1, y), td.products()), y)
+
+
+@query("category_split_reduced")
+def q_category_split_reduced(spark, sf_dir):
+    td, y = _td(spark, sf_dir), PARAMS["year"]
+    return _round(pnl.category_split(marts.sales_mart(td.sales_of_years(y), td.products()), y), 4, "revenue_m")
+
+
+@query("control_pack")
+def q_control_pack(spark, sf_dir):
+    return controls.control_pack(_mart(_td(spark, sf_dir)), PARAMS["year"])

@@ -552,3 +552,48 @@ SELECT ym, ch, cat, {DR('revenue', 0)} AS revenue, {R('mean12', 0)} AS mean, {R(
        WHEN ABS(zz) > {D(K.Z_SIGNIFICANT)} THEN {S(K.SEVERITY_LABELS['significant'])}
        ELSE {S(K.SEVERITY_LABELS['normal'])} END AS severity
 FROM z2"""
+
+_BACK = "PARTITION BY {keys} ORDER BY year(m) * 12 + month(m) RANGE BETWEEN {first} PRECEDING AND {last}"
+
+
+def _back(keys: str, first: int, last: int) -> str:
+    return _BACK.format(keys=keys, first=first, last=f"{last} PRECEDING" if last else "CURRENT ROW")
+
+
+def _dense(name: str, source: str, keys: list[str], value: str, fill: str) -> str:
+    """Every month of a series between its first and its last, by a series table and a join."""
+    same = " AND ".join(f"d.{k} IS NOT DISTINCT FROM s.{k}" for k in keys)
+    return f"""{name} AS (
+  SELECT {', '.join('s.' + k for k in keys)}, s.m, strftime(s.m, '%Y-%m') AS ym, d.ym IS NULL AS filled, {fill.format('d.' + value)} AS {value}
+  FROM (SELECT {', '.join(keys)}, CAST(unnest(generate_series(MIN(CAST(ym || '-01' AS TIMESTAMP)), MAX(CAST(ym || '-01' AS TIMESTAMP)),
+          INTERVAL 1 MONTH)) AS DATE) AS m FROM {source} WHERE ym IS NOT NULL GROUP BY {', '.join(keys)}) s
+  LEFT JOIN {source} d ON {same} AND d.ym = strftime(s.m, '%Y-%m'))"""
+
+
+SQL["dso_yoy_dense"] = WITH(DSO, _dense("dd", "dso", ["ch"], "dso_days", "{}")) + f"""SELECT ym, ch, filled, dso_days,
+  {R(f"AVG(dso_days) OVER ({_back('ch', 2, 0)})", 1)} AS dso_avg3,
+  dso_days - MAX(dso_days) OVER ({_back('ch', 1, 1)}) AS mom,
+  {R(f"dso_days - MAX(dso_days) OVER ({_back('ch', 12, 12)})", 1)} AS yoy
+FROM dd ORDER BY ch NULLS LAST, ym"""
+
+SQL["charges_baseline_dense"] = WITH(CHM, _dense("cd", "chm", ["cc_id", "nature"], "amount", "COALESCE({}, 0)")) + f"""
+SELECT ym, cc_id, nature, filled, {DR('amount', 2)} AS amount,
+  {R(f"AVG(CAST(amount AS DOUBLE)) OVER ({_back('cc_id, nature', 12, 1)})", 2)} AS mean12,
+  {R(f"STDDEV_SAMP(CAST(amount AS DOUBLE)) OVER ({_back('cc_id, nature', 12, 1)})", 2)} AS std12 FROM cd"""
+
+SQL["headline_kpis_reduced"] = SQL["headline_kpis"]
+SQL["category_split_reduced"] = SQL["category_split"]
+
+_NONE = "CAST(NULL AS DOUBLE)"
+
+
+def _share(grain: str, axis: str) -> str:
+    return f"""SELECT '{grain}', {axis}, {DR(MIL(MS('revenue')), 2)}, {_NONE}, {_NONE}, {_NONE},
+  {PCT(MS('revenue'), f"(SELECT {MS('revenue')} FROM sales WHERE yr = {Y})")} FROM sales WHERE yr = {Y} GROUP BY {axis}"""
+
+
+SQL["control_pack"] = WITH(SALES) + f""", y AS (SELECT yr, {MS('revenue')} AS revenue, {MS('margin')} AS margin FROM sales GROUP BY yr)
+SELECT 'year' AS grain, CAST(yr AS VARCHAR) AS key, {DR(MIL('revenue'), 2)} AS revenue_m, {DR(MIL('margin'), 2)} AS margin_m,
+  {PCT('margin', 'revenue')} AS margin_pc, {PCT('revenue - LAG(revenue) OVER (ORDER BY yr)', 'LAG(revenue) OVER (ORDER BY yr)')} AS growth_pc,
+  {_NONE} AS share_pc FROM y
+UNION ALL {_share('channel', 'ch')} UNION ALL {_share('category', 'cat')}"""

@@ -26,7 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebook.functions.dates import as_date
+from closebook.functions.bloom import BITS, reduce_by_keys
+from closebook.functions.dates import as_date, in_years
 
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
@@ -97,6 +98,21 @@ class TestData:
                          F.col("l_quantity").alias("qty"),
                          (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("revenue")))
 
+    def sales_of_years(self, first: int, last: int | None = None, with_channel: bool = False, bits: int = BITS) -> DataFrame:
+        """``sales_fact`` of the orders of these years only.
+
+        The order keys of the years make a Bloom filter that lineitem is probed
+        with before its shuffle; the inner join then decides.
+        """
+        oc = (self.order_channels() if with_channel else self.order_dates()).filter(in_years("order_date", first, last))
+        wanted = self.order_dates().filter(in_years("order_date", first, last))
+        l = self.table("lineitem").select(*LINE_KEYS, "l_quantity", "l_discount")
+        l = reduce_by_keys(l, "l_orderkey", wanted, "order_id", bits)
+        return (l.join(oc, l.l_orderkey == oc.order_id)
+                 .select(*LINE_KEYS, "order_date", *(["ch"] if with_channel else []),
+                         F.col("l_partkey").alias("sku"), F.col("l_quantity").alias("qty"),
+                         (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("revenue")))
+
     def collections(self, with_channel: bool = False) -> DataFrame:
         """One collection per line: (order_id, keys, order_date, raw delay, amount[, ch]).
 

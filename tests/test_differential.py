@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from closebook.plans.catalog import QUERIES
+from closebook.plans.oracle import SQL
 from tools.compare import TABLES, key_rows
 
 SF = os.environ.get("CLOSEBOOK_DIFF_SF", "/root/testdata/sf0.001")
@@ -22,14 +24,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_matches_duckdb(spark, con, key):
-    df = E.queries()[key](spark, SF)
+    df = QUERIES[key](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[key])
+    cur = con.execute(SQL[key])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     idx = [dcols.index(c) for c in df.columns]
