@@ -140,3 +140,21 @@ def surrogate_keys(df: DataFrame, key: str | list[str], fmt: str, partitions: in
     pos: Column = F.col("_off") + (F.col("_id") - F.col("_first")) + F.lit(1)
     return (s.join(F.broadcast(offsets), "_p")
              .select(*key, F.format_string(fmt, pos).alias("code")))
+
+
+def stable_keys(known: DataFrame | None, df: DataFrame, key: str | list[str], fmt: str) -> DataFrame:
+    """G13 over reloads: (key columns, seq, code); keys that ``known`` (key columns, seq) holds keep their position.
+
+    Keys that are new - found by an anti-join, repeated rows count once - are
+    numbered in key order after the last position given out; keys that are gone
+    keep theirs, so no code is ever used again. Store the result and pass it as
+    ``known`` next time. Key columns must not be NULL.
+    """
+    key = [key] if isinstance(key, str) else key
+    fresh, last = df.select(*key).distinct(), 0
+    if known is not None:
+        fresh = fresh.join(known.select(*key), key, "left_anti")
+        last = known.agg(F.max("seq")).first()[0] or 0
+    numbered = surrogate_keys(fresh, key, "%d").select(*key, (F.col("code").cast("long") + F.lit(last)).alias("seq"))
+    whole = numbered if known is None else known.select(*key, "seq").unionByName(numbered)
+    return whole.withColumn("code", F.format_string(fmt, F.col("seq")))

@@ -11,6 +11,7 @@ Each report joins only the dimensions it reads (``_mart`` variants).
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,9 @@ from pyspark.sql import types as T
 from closebook.functions.dates import as_date, in_years
 from closebook.functions.numeric import dround, rnd
 from closebook.operators import (controls, drift, lines, marts, planning, pnl, purchasing, pvm,
-                                 receivables, series, variance)
+                                 receivables, refresh, series, variance)
+from closebook.session import checkpoint_dir
+from closebook.sources import storage
 from closebook.sources.star import table_row_counts
 from closebook.sources.testdata import LINE_KEYS, TestData
 
@@ -590,3 +593,24 @@ def q_category_split_reduced(spark, sf_dir):
 @query("control_pack")
 def q_control_pack(spark, sf_dir):
     return controls.control_pack(_mart(_td(spark, sf_dir)), PARAMS["year"])
+
+
+@query("pnl_monthly_cube_refreshed")
+def q_pnl_monthly_cube_refreshed(spark, sf_dir):
+    """The cube after a first load without year N, N's lines as a late batch, and a recomputed month."""
+    mart, y = _mart(_td(spark, sf_dir)), PARAMS["year"]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cube-{uuid.uuid4().hex}"
+    storage.remove_at_exit(spark, path)
+    late = F.coalesce(in_years("order_date", y), F.lit(False))
+    refresh.add_lines(mart.filter(~late), path)
+    refresh.add_lines(mart.filter(late), path, "late")
+    refresh.recompute_months(mart, path, [f"{y - 1}-12", f"{y}-01"])
+    return _round(refresh.cube_from_partials(spark, path), 2, "revenue", "cost", "margin")
+
+
+@query("surrogate_keys_reloaded")
+def q_surrogate_keys_reloaded(spark, sf_dir):
+    """Order codes after a load up to N-1 and a reload with all orders."""
+    o = _td(spark, sf_dir).table("orders")
+    first = lines.stable_keys(None, o.filter(as_date("o_orderdate") < F.lit(f"{PARAMS['year']}-01-01").cast("date")), "o_orderkey", "CMD%08d")
+    return lines.stable_keys(first, o, "o_orderkey", "CMD%08d").select("o_orderkey", F.col("code").alias("order_code"))

@@ -597,3 +597,8 @@ SELECT 'year' AS grain, CAST(yr AS VARCHAR) AS key, {DR(MIL('revenue'), 2)} AS r
   {PCT('margin', 'revenue')} AS margin_pc, {PCT('revenue - LAG(revenue) OVER (ORDER BY yr)', 'LAG(revenue) OVER (ORDER BY yr)')} AS growth_pc,
   {_NONE} AS share_pc FROM y
 UNION ALL {_share('channel', 'ch')} UNION ALL {_share('category', 'cat')}"""
+
+SQL["pnl_monthly_cube_refreshed"] = SQL["pnl_monthly_cube"]
+
+SQL["surrogate_keys_reloaded"] = f"""SELECT o_orderkey, printf('CMD%08d', ROW_NUMBER() OVER (
+  ORDER BY CASE WHEN CAST(o_orderdate AS DATE) < DATE '{Y}-01-01' THEN 0 ELSE 1 END, o_orderkey)) AS order_code FROM orders"""
