@@ -87,10 +87,16 @@ def budget_margin_rate(ch_margin: Column, ch_rev: Column, cat_margin: Column,
 
 
 def revenue_budget_base(cube: DataFrame, year: int) -> DataFrame:
-    """N-1 revenue and margin per (channel, category) read from the monthly cube."""
-    c = cube.filter((F.col("yr") == F.lit(year - 1)) & F.col("ch").isNotNull()
-                    & F.col("cat").isNotNull())
-    return c.groupBy("ch", "cat").agg(F.sum("revenue").alias("rev"), F.sum("margin").alias("mar"))
+    """N-1 revenue and margin per (channel, category) read from the monthly cube.
+
+    The year stands in the sums, not in a filter that would move below the
+    cube's aggregates, so the cube can be shared with other readers.
+    """
+    before = (F.col("yr") == F.lit(year - 1)) & F.col("ch").isNotNull() & F.col("cat").isNotNull()
+    return (cube.groupBy("ch", "cat").agg(F.sum(F.when(before, F.col("revenue"))).alias("rev"),
+                                          F.sum(F.when(before, F.col("margin"))).alias("mar"),
+                                          F.count(F.when(before, F.lit(1))).alias("_n"))
+                .filter("_n > 0").drop("_n"))
 
 
 def budget_revenue(mart: DataFrame | None, year: int, growth: float = K.GROWTH_N,

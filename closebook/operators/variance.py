@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closebook.functions import constants as K
-from closebook.operators import planning
 from closebook.functions.dates import in_years
 from closebook.functions.numeric import agg_exact, dround, millions, msum, pct, rnd, safe_div
 
@@ -42,57 +41,23 @@ def actual_cells(mart: DataFrame, year: int, channel: str | None = None) -> Data
 
 
 def cube_actual_cells(cube: DataFrame, year: int, channel: str | None = None) -> DataFrame:
-    """The same cells read from the monthly cube (already one row per cell)."""
-    c = cube.filter(F.col("yr") == F.lit(year))
-    if channel is not None:
-        c = c.filter(F.col("ch") == F.lit(channel))
-    return c.select(*CELL, F.col("revenue").alias("actual_revenue"),
-                    F.col("margin").alias("actual_margin"))
-
+    """The same cells read from the monthly cube.
 
-def attach_budget(cells: DataFrame, year: int, growth: float = K.GROWTH_N) -> DataFrame:
-    """Revenue budget of ``year`` (the G8 rule) attached to the year-``year`` rows
-    of a (yr, mo, ch, cat, revenue, margin) table that also holds year - 1.
-
-    The N-1 totals by channel, by category and overall are window sums over
-    the same small table, so the budget needs no second read of the fact and
-    no join: one aggregate feeds both the actuals and the budget. A cell gets
-    a budget when its (channel, category) pair sold in N-1, like the builder.
+    The year stands in the sums, not in a filter below them, so that the
+    budget's base (``planning.revenue_budget_base``) and these cells read one
+    cube: Spark runs its plan once and reuses the exchange.
     """
-    prev = (F.col("yr") == F.lit(year - 1)) & F.col("ch").isNotNull() & F.col("cat").isNotNull()
-    rev1, mar1 = F.when(prev, F.col("revenue")), F.when(prev, F.col("margin"))
-    all_, by_ch, by_cat = Window.partitionBy(), Window.partitionBy("ch"), Window.partitionBy("cat")
-    by_pair = Window.partitionBy("ch", "cat")
-    w = cells.select("*", F.sum(rev1).over(all_).alias("_tot"), F.sum(rev1).over(by_ch).alias("_chr"),
-                     F.sum(rev1).over(by_cat).alias("_catr"), F.sum(mar1).over(by_ch).alias("_chm"),
-                     F.sum(mar1).over(by_cat).alias("_catm"),
-                     F.count(F.when(prev, F.lit(1))).over(by_pair).alias("_sold"))
-    c = F.col
-    amount = planning.budget_amount(c("_tot"), c("_chr"), c("_catr"), c("mo"), growth)
-    rate = planning.budget_margin_rate(c("_chm"), c("_chr"), c("_catm"), c("_catr"))
-    has = ((c("yr") == F.lit(year)) & (c("_sold") > 0) & c("ch").isNotNull() & c("cat").isNotNull())
-    return (w.withColumn("budget_revenue", F.when(has, amount))
-             .withColumn("budget_margin", F.when(has, amount * rate))
-             .drop("_tot", "_chr", "_catr", "_chm", "_catm", "_sold"))
-
-
-def history_cells(cube: DataFrame, year: int) -> DataFrame:
-    """Cube rows of N-1 and N with the budget of N attached (see ``attach_budget``)."""
-    return attach_budget(cube.filter(F.col("yr").isin(year - 1, year)), year)
-
-
-def joined_from_history(hist: DataFrame, year: int, channel: str | None = None) -> DataFrame:
-    """Year-N cells with actuals and budget side by side (the V2 join, already done)."""
-    h = hist.filter(F.col("yr") == F.lit(year))
-    if channel is not None:
-        h = h.filter(F.col("ch") == F.lit(channel))
-    return h.select(*CELL, F.col("revenue").alias("actual_revenue"),
-                    F.col("margin").alias("actual_margin"), "budget_revenue", "budget_margin")
+    now = F.col("yr") == F.lit(year)
+    c = cube if channel is None else cube.filter(F.col("ch") == F.lit(channel))
+    return (c.groupBy(*CELL).agg(F.sum(F.when(now, F.col("revenue"))).alias("actual_revenue"),
+                                 F.sum(F.when(now, F.col("margin"))).alias("actual_margin"),
+                                 F.count(F.when(now, F.lit(1))).alias("_n"))
+             .filter("_n > 0").drop("_n"))
 
 
 def actual_vs_budget(mart: DataFrame | None, budget_cells: DataFrame, year: int,
                      channel: str | None = None, how: str = "left",
-                     actuals: DataFrame | None = None, joined: DataFrame | None = None) -> DataFrame:
+                     actuals: DataFrame | None = None) -> DataFrame:
     """Actuals of ``year`` per cell LEFT JOIN budget cells (unrounded).
 
     Actuals are aggregated before the join, so the join sees one row per
@@ -100,20 +65,17 @@ def actual_vs_budget(mart: DataFrame | None, budget_cells: DataFrame, year: int,
     aggregate. Actuals are the left side: a budget cell without sales
     disappears (``how='full'`` keeps it, as an opt-in).
     """
-    if joined is not None:
-        return joined
     act = actuals if actuals is not None else actual_cells(mart, year, channel)
     return act.join(budget_cells.select(*CELL, "budget_revenue", "budget_margin"), CELL, how)
 
 
 def budget_variance(mart: DataFrame | None, budget_cells: DataFrame | None, year: int,
-                    channel: str | None = None, actuals: DataFrame | None = None,
-                    joined: DataFrame | None = None, how: str = "left") -> DataFrame:
+                    channel: str | None = None, actuals: DataFrame | None = None, how: str = "left") -> DataFrame:
     """V2 + V3: per cell budget, actual, variance and variance % for revenue and margin.
 
     ``how='full'`` also lists budget cells without sales (NULL actuals).
     """
-    j = actual_vs_budget(mart, budget_cells, year, channel, how=how, actuals=actuals, joined=joined)
+    j = actual_vs_budget(mart, budget_cells, year, channel, how=how, actuals=actuals)
     var_r = F.col("actual_revenue") - F.col("budget_revenue")
     var_m = F.col("actual_margin") - F.col("budget_margin")
     return (j.select(
@@ -140,13 +102,12 @@ def budget_status_counts(variance: DataFrame) -> DataFrame:
 def budget_variance_monthly(mart: DataFrame | None, budget_cells: DataFrame | None, year: int,
                             channel: str | None = None,
                             labels=("favourable", "unfavourable"),
-                            actuals: DataFrame | None = None,
-                            joined: DataFrame | None = None) -> DataFrame:
+                            actuals: DataFrame | None = None) -> DataFrame:
     """V4 + V5: monthly roll-up of the cell join, in millions, with the favourable flag.
 
     SUM(actual - budget) skips cells without budget, like the reference.
     """
-    j = actual_vs_budget(mart, budget_cells, year, channel, actuals=actuals, joined=joined)
+    j = actual_vs_budget(mart, budget_cells, year, channel, actuals=actuals)
     agg = j.groupBy("mo").agg(
         msum("budget_revenue").alias("budget"), F.sum("actual_revenue").alias("actual"),
         msum(F.col("actual_revenue") - F.col("budget_revenue")).alias("var"))

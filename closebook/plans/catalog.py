@@ -138,6 +138,19 @@ def _cells(td: TestData) -> DataFrame:
     return variance.resolve_budget(_budget(td), PARAMS["year"])
 
 
+@_memo
+def _two_years(td: TestData) -> DataFrame:
+    """The cube of N-1 and N alone; both bounds reach the scan of the orders."""
+    y = PARAMS["year"]
+    return marts.monthly_cube(_mart(td).filter(in_years("order_date", y - 1, y)))
+
+
+def _cells_from(cube: DataFrame) -> DataFrame:
+    """Budget cells of N whose base is read from ``cube``, which the actuals read too."""
+    y = PARAMS["year"]
+    return variance.resolve_budget(planning.budget_revenue(None, y, base=planning.revenue_budget_base(cube, y)), y)
+
+
 @_memo
 def _dso(td: TestData) -> DataFrame:
     return receivables.dso_report(_cmart(td), receivables.alert_rules(td.spark, PARAMS["dso_rules"]))
@@ -190,7 +203,7 @@ def q_collections_mart(spark, sf_dir):
 @query("kpi_mart")
 def q_kpi_mart(spark, sf_dir):
     td = _td(spark, sf_dir)
-    return marts.kpi_mart(_cube(td), _cells(td), PARAMS["year"])
+    return marts.kpi_mart(_cube(td), _cells_from(_cube(td)), PARAMS["year"])
 
 
 @query("kpi_mart_preview")
@@ -256,7 +269,8 @@ def q_budget_resolved(spark, sf_dir):
 @query("budget_variance")
 def q_budget_variance(spark, sf_dir):
     td = _td(spark, sf_dir)
-    return variance.budget_variance(_mart(td), _cells(td), PARAMS["year"])
+    cube, y = _two_years(td), PARAMS["year"]
+    return variance.budget_variance(None, _cells_from(cube), y, actuals=variance.cube_actual_cells(cube, y))
 
 
 @query("budget_status_counts")
@@ -267,7 +281,8 @@ def q_budget_status_counts(spark, sf_dir):
 @query("budget_variance_monthly")
 def q_budget_variance_monthly(spark, sf_dir):
     td = _td(spark, sf_dir)
-    df = variance.budget_variance_monthly(_mart(td), _cells(td), PARAMS["year"])
+    cube, y = _two_years(td), PARAMS["year"]
+    df = variance.budget_variance_monthly(None, _cells_from(cube), y, actuals=variance.cube_actual_cells(cube, y))
     return _round(df, 4, "budget_m", "actual_m", "var_m")
 
 

@@ -87,3 +87,12 @@ def test_collections_read_the_orders_once(spark, key):
 @pytest.mark.parametrize("key", ["purchase_costing", "freight_ratio_trend", "pvm_mix_by_sku"])
 def test_parts_are_joined_after_aggregation(spark, key):
     assert formatted(spark, key).count("part.parquet") == 1
+
+
+@pytest.mark.parametrize("key", ["kpi_mart", "budget_variance", "budget_variance_monthly"])
+def test_budget_and_actuals_read_the_fact_once(spark, key):
+    df = C.QUERIES[key](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert final.count("l_orderkey") and sum("FileScan parquet" in x and "lineitem.parquet" in x for x in final.splitlines()) == 1

@@ -168,8 +168,8 @@ def test_cube_and_line_paths_agree(spark):
     x = sorted(rows(variance.actual_cells(mart, 2000)), key=repr)
     y = sorted(rows(variance.cube_actual_cells(cube, 2000)), key=repr)
     assert x == y
-    # window-attached budget equals the joined budget cells
     cells = variance.resolve_budget(planning.budget_revenue(mart, 2000).withColumn("cc_id", F.lit(None)), 2000)
     j1 = sorted(rows(variance.actual_vs_budget(mart, cells, 2000)), key=repr)
-    j2 = sorted(rows(variance.joined_from_history(variance.history_cells(cube, 2000), 2000)), key=repr)
+    shared = variance.resolve_budget(planning.budget_revenue(None, 2000, base=planning.revenue_budget_base(cube, 2000)), 2000)
+    j2 = sorted(rows(variance.actual_vs_budget(None, shared, 2000, actuals=variance.cube_actual_cells(cube, 2000))), key=repr)
     assert j1 == j2
