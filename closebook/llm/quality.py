@@ -173,12 +173,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, folds: int
     Rows whose crc32(doc_id as text) modulo ``folds`` is ``held`` and rows
     without id or label are not learned. Of the rows of a sampled document the
     one with the smallest text hash counts. Only the sample's features reach the
-    driver; features are computed for the sample alone.
+    driver; features are computed for the sample alone. The sample's ids (two
+    times ``max_rows`` at most) are broadcast, so only its texts are dealt.
     """
     known = labels.select("doc_id", "quality").filter(
         F.col("quality").isin(0, 1) & F.coalesce(id_fold("doc_id", folds) != held, F.lit(False)))
     sample = sample_by_class(known, "quality", F.col("doc_id"), max_rows).select("doc_id", "quality")
-    first = (docs.select("doc_id", "text").join(sample.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id")
+    first = (docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi").groupBy("doc_id")
              .agg(F.min(F.struct(F.xxhash64("text").alias("order"), "text")).alias("first")).select("doc_id", "first.text"))
     rows = first.join(sample, "doc_id").select(
         "doc_id", "quality", feature_column("text").alias("x")).toPandas().sort_values(["doc_id", "quality"], kind="stable")
