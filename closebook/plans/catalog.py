@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from closebook.functions.dates import as_date, in_years
 from closebook.functions.numeric import dround, rnd
-from closebook.operators import (controls, drift, lines, marts, planning, pnl, purchasing, pvm,
+from closebook.operators import (apportion, controls, drift, lines, marts, planning, pnl, purchasing, pvm,
                                  receivables, refresh, series, variance)
 from closebook.session import checkpoint_dir
 from closebook.sources import storage
@@ -629,3 +629,9 @@ def q_surrogate_keys_reloaded(spark, sf_dir):
     o = _td(spark, sf_dir).table("orders")
     first = lines.stable_keys(None, o.filter(as_date("o_orderdate") < F.lit(f"{PARAMS['year']}-01-01").cast("date")), "o_orderkey", "CMD%08d")
     return lines.stable_keys(first, o, "o_orderkey", "CMD%08d").select("o_orderkey", F.col("code").alias("order_code"))
+
+
+@query("budget_revenue_sku")
+def q_budget_revenue_sku(spark, sf_dir):
+    mart = _mart_no_product(_td(spark, sf_dir))
+    return apportion.budget_revenue_sku(mart, PARAMS["year"], bucket=F.pmod("sku", F.lit(apportion.BUCKETS)))

@@ -602,3 +602,25 @@ SQL["pnl_monthly_cube_refreshed"] = SQL["pnl_monthly_cube"]
 
 SQL["surrogate_keys_reloaded"] = f"""SELECT o_orderkey, printf('CMD%08d', ROW_NUMBER() OVER (
   ORDER BY CASE WHEN CAST(o_orderdate AS DATE) < DATE '{Y}-01-01' THEN 0 ELSE 1 END, o_orderkey)) AS order_code FROM orders"""
+
+
+def _apportioned(name: str, source: str, by: str, keys: str) -> str:
+    """Largest remainders of ``source`` (by, keys, target, weight) in whole cents."""
+    cells = ", ".join(x for x in (by, keys) if x)
+    group = f"PARTITION BY {by}" if by else ""
+    return f"""{name}_s AS (SELECT *, CAST(SUM(weight) OVER ({group}) AS HUGEINT) AS whole FROM ({source}) WHERE weight > 0),
+{name}_r AS (SELECT *, target * weight // whole AS base, target * weight % whole AS rest FROM {name}_s),
+{name} AS (
+  SELECT {cells}, base + CASE WHEN ROW_NUMBER() OVER ({group} ORDER BY rest DESC, {keys}) <= target - SUM(base) OVER ({group})
+    THEN 1 ELSE 0 END AS cents FROM {name}_r)"""
+
+
+SQL["budget_revenue_sku"] = WITH(SALES, COEF) + f""", sold AS (
+  SELECT ch, sku, {MS('revenue')} AS revenue FROM sales WHERE yr = {Y1} GROUP BY ch, sku),
+t AS (SELECT CAST(ROUND(SUM(revenue) * CAST({round(1.0 + K.GROWTH_N, 6)!r} AS DECIMAL(10,6)), 2) * 100 AS HUGEINT) AS target FROM sold),
+products AS (SELECT ch, sku % 64 AS bucket, sku, CAST(revenue * 10000 AS HUGEINT) AS weight FROM sold WHERE ch IS NOT NULL AND sku IS NOT NULL),
+{_apportioned("l1", "SELECT mo, target, CAST(ROUND(coef * 100) AS HUGEINT) AS weight FROM coef, t", "", "mo")},
+{_apportioned("l2", "SELECT mo, ch, CAST(cents AS HUGEINT) AS target, weight FROM l1, (SELECT ch, CAST(SUM(weight) AS HUGEINT) AS weight FROM products GROUP BY ch)", "mo", "ch")},
+{_apportioned("l3", "SELECT mo, ch, bucket, CAST(cents AS HUGEINT) AS target, weight FROM l2 JOIN (SELECT ch, bucket, CAST(SUM(weight) AS HUGEINT) AS weight FROM products GROUP BY ch, bucket) USING (ch)", "mo, ch", "bucket")},
+{_apportioned("l4", "SELECT mo, ch, bucket, sku, CAST(cents AS HUGEINT) AS target, weight FROM l3 JOIN products USING (ch, bucket)", "mo, ch, bucket", "sku")}
+SELECT {Y} AS yr, CAST(mo AS INTEGER) AS mo, ch, sku, CAST(cents AS DOUBLE) / 100 AS amount FROM l4"""
