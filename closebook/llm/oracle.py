@@ -48,7 +48,8 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.start = d.do
 SQL["op3_source_mixture"] = """
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
-    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 't' || coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+    CAST('0x' || substr(md5(coalesce(length(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), 't')
+      || coalesce(text, '')), 1, 9) AS BIGINT) AS h
   FROM documents),
 sources AS (
   SELECT source, sum(size) AS total, 3.0::DOUBLE * sum(size) AS most,
@@ -61,12 +62,13 @@ targets AS (
   SELECT source, total, CASE WHEN most / weight <= level THEN most
     ELSE weight * (SELECT max(level) FROM share WHERE most / weight > level) END AS target FROM share),
 run AS (
-  SELECT sized.*, total, target, CASE WHEN total > 0 THEN floor(target / total) ELSE 0 END AS every,
+  SELECT sized.*, total, target, CASE WHEN total > 0 THEN floor(target / total) ELSE 1 END AS every,
     sum(size) OVER (PARTITION BY sized.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS through,
-    sum(size) OVER (PARTITION BY sized.source, h) AS own
+    sum(size) OVER (PARTITION BY sized.source, h) AS own,
+    row_number() OVER (PARTITION BY sized.source, h ORDER BY doc_id) AS nth
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size::BIGINT AS size, total::BIGINT AS source_size, target,
-  (size * (every + CASE WHEN 2 * through - own <= 2 * (target - every * total) THEN 1 ELSE 0 END))::BIGINT AS taken
+  (size * (every + CASE WHEN (through - own) + (nth - 0.5) * size <= target - every * total THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM run"""
 
 SQL["op5_winnowing_decontamination"] = f"""
