@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 from closebook.functions.dates import as_date, in_years
 from closebook.functions.numeric import dround, rnd
 from closebook.operators import (apportion, controls, drift, lines, marts, planning, pnl, purchasing, pvm,
-                                 receivables, refresh, series, variance)
+                                 receivables, refresh, series, values, variance)
 from closebook.session import checkpoint_dir
 from closebook.sources import storage
-from closebook.sources.star import table_row_counts
+from closebook.sources.rejects import load_typed
+from closebook.sources.star import table_row_counts, write_csv
 from closebook.sources.testdata import LINE_KEYS, TestData
 
 PARAMS = {
@@ -635,3 +636,36 @@ def q_surrogate_keys_reloaded(spark, sf_dir):
 def q_budget_revenue_sku(spark, sf_dir):
     mart = _mart_no_product(_td(spark, sf_dir))
     return apportion.budget_revenue_sku(mart, PARAMS["year"], bucket=F.pmod("sku", F.lit(apportion.BUCKETS)))
+
+
+@query("typed_load_outcome")
+def q_typed_load_outcome(spark, sf_dir):
+    """All orders written as delimited text, some with damage by key, and loaded: order id and reason (null: loaded)."""
+    k = F.col("o_orderkey")
+    text = _td(spark, sf_dir).table("orders").select(
+        k.cast("string").alias("order_id"),
+        F.when(k % 109 != 0, F.col("o_orderstatus")).alias("status"),
+        F.when(k % 101 == 0, F.lit("31/12/1999")).otherwise(as_date("o_orderdate").cast("string")).alias("order_date"),
+        F.when(k % 103 == 0, F.lit("1 200,50")).otherwise(F.col("o_totalprice").cast("string")).alias("total"))
+    schema = T.StructType().add("order_id", "long").add("status", "string").add("order_date", "date").add("total", "double")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/typed-{uuid.uuid4().hex}"
+    storage.remove_at_exit(spark, path)
+    write_csv(text, f"{path}/orders.csv")
+    load = load_typed(spark, f"{path}/orders.csv", schema, f"{path}/staged", required=("status",))
+    bad = load.rejects.select(F.split("text", ";")[0].cast("long").alias("order_id"), "reason")
+    return load.valid.select("order_id", F.lit(None).cast("string").alias("reason")).unionByName(bad)
+
+
+@query("filter_years_in_use")
+def q_filter_years_in_use(spark, sf_dir):
+    td = _td(spark, sf_dir)
+    dates = td.order_dates().select("order_id", F.year("order_date").alias("yr"))
+    return (values.values_in_use(dates, "order_id", "yr", td.table("lineitem"), "l_orderkey")
+            .select(F.col("value").alias("yr")).orderBy(F.col("yr").desc()))
+
+
+@query("filter_channels_in_use")
+def q_filter_channels_in_use(spark, sf_dir):
+    td = _td(spark, sf_dir)
+    return (values.values_in_use(td.order_channels(), "order_id", "ch", td.table("lineitem"), "l_orderkey")
+            .select(F.col("value").alias("ch")).orderBy("ch"))

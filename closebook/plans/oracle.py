@@ -624,3 +624,12 @@ products AS (SELECT ch, sku % 64 AS bucket, sku, CAST(revenue * 10000 AS HUGEINT
 {_apportioned("l3", "SELECT mo, ch, bucket, CAST(cents AS HUGEINT) AS target, weight FROM l2 JOIN (SELECT ch, bucket, CAST(SUM(weight) AS HUGEINT) AS weight FROM products GROUP BY ch, bucket) USING (ch)", "mo, ch", "bucket")},
 {_apportioned("l4", "SELECT mo, ch, bucket, sku, CAST(cents AS HUGEINT) AS target, weight FROM l3 JOIN products USING (ch, bucket)", "mo, ch, bucket", "sku")}
 SELECT {Y} AS yr, CAST(mo AS INTEGER) AS mo, ch, sku, CAST(cents AS DOUBLE) / 100 AS amount FROM l4"""
+
+SQL["typed_load_outcome"] = """SELECT o_orderkey AS order_id,
+  CASE WHEN o_orderkey % 101 = 0 AND o_orderkey % 103 = 0 THEN 'type: order_date, total'
+       WHEN o_orderkey % 101 = 0 THEN 'type: order_date'
+       WHEN o_orderkey % 103 = 0 THEN 'type: total'
+       WHEN o_orderkey % 109 = 0 THEN 'missing: status' END AS reason
+FROM orders"""
+SQL["filter_years_in_use"] = WITH(SALES) + "SELECT DISTINCT yr FROM sales WHERE yr IS NOT NULL ORDER BY yr DESC"
+SQL["filter_channels_in_use"] = WITH(SALES) + "SELECT DISTINCT ch FROM sales WHERE ch IS NOT NULL ORDER BY ch"

@@ -56,13 +56,18 @@ def read_star(spark: SparkSession, base: str, tables=STAR_TABLES,
     out = {}
     for t in tables:
         df = spark.read.options(**CSV_OPTIONS, **STRICT).schema(STAR_SCHEMAS[t]).csv(_path(base, t))
-        if t == "fact_budget":
-            df = (df.withColumn("canal_id", F.col("canal_id").cast("int"))
-                    .withColumn("categorie_id", F.col("categorie_id").cast("int")))
-        out[t] = df
+        out[t] = with_star_types(t, df)
     return out
 
 
+def with_star_types(table: str, df: DataFrame) -> DataFrame:
+    """The budget's nullable ids are written as doubles."""
+    if table == "fact_budget":
+        return (df.withColumn("canal_id", F.col("canal_id").cast("int"))
+                  .withColumn("categorie_id", F.col("categorie_id").cast("int")))
+    return df
+
+
 def write_star(tables: dict[str, DataFrame], base: str, fmt: str = "parquet") -> None:
     """Drop-and-recreate each table; month-partitioned facts prune by month.
 
