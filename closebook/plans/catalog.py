@@ -24,6 +24,7 @@ from closebook.operators import (apportion, controls, drift, lines, marts, plann
                                  receivables, refresh, series, values, variance)
 from closebook.session import checkpoint_dir
 from closebook.sources import storage
+from closebook.sources.clustered import write_clustered
 from closebook.sources.rejects import load_typed
 from closebook.sources.star import table_row_counts, write_csv
 from closebook.sources.testdata import LINE_KEYS, TestData
@@ -669,3 +670,15 @@ def q_filter_channels_in_use(spark, sf_dir):
     td = _td(spark, sf_dir)
     return (values.values_in_use(td.order_channels(), "order_id", "ch", td.table("lineitem"), "l_orderkey")
             .select(F.col("value").alias("ch")).orderBy("ch"))
+
+
+@query("pnl_channel_slice_clustered")
+def q_pnl_channel_slice_clustered(spark, sf_dir):
+    """P7 on all sales lines written along a Z-order curve over date, channel and product."""
+    td = _td(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/clustered-{uuid.uuid4().hex}"
+    storage.remove_at_exit(spark, path)
+    fact = td.sales_fact()
+    write_clustered(fact, path, ("order_date", "ch", "sku"))
+    mart = marts.sales_mart(spark.read.schema(fact.schema).parquet(path), td.products())
+    return _round(pnl.pnl_channel_slice(mart, PARAMS["year"], PARAMS["channel"]), 4, "revenue_m", "margin_m")

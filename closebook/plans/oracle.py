@@ -633,3 +633,4 @@ SQL["typed_load_outcome"] = """SELECT o_orderkey AS order_id,
 FROM orders"""
 SQL["filter_years_in_use"] = WITH(SALES) + "SELECT DISTINCT yr FROM sales WHERE yr IS NOT NULL ORDER BY yr DESC"
 SQL["filter_channels_in_use"] = WITH(SALES) + "SELECT DISTINCT ch FROM sales WHERE ch IS NOT NULL ORDER BY ch"
+SQL["pnl_channel_slice_clustered"] = SQL["pnl_channel_slice"]
