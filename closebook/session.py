@@ -8,6 +8,8 @@ import tempfile
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from closebook.sources import storage
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "closebook") -> SparkSession:
@@ -73,11 +75,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     The data is persisted (memory, spilling to disk) while the checkpoint is
     written, so it is computed once rather than once for the materialising
     job and again for the checkpoint write; it is released afterwards and
-    every later use reads the checkpoint files.
+    every later use reads the checkpoint files. These are removed when the
+    application ends (Spark keeps them, though no other application can read them).
     """
     checkpoint_dir(df.sparkSession)
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return df.checkpoint(eager=True)
+        cut = df.checkpoint(eager=True)
     finally:
         df.unpersist()
+    files = cut._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if files.isDefined():
+        storage.remove_at_exit(df.sparkSession, files.get())
+    return cut
