@@ -17,9 +17,11 @@ the ids: constant time whatever the number of keys.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from itertools import chain
+from itertools import chain, compress
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -33,25 +35,36 @@ from .words import mix
 BLOCK_IDS = 1 << 20
 BUCKET_KEYS = 50_000
 CACHE = 600_000  # pieces whose ids a worker remembers (about 120 MB)
+# fixed values: how the tokenizers that can be used piece by piece cut their texts, and the ASCII signs
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 GAMMA = 2.0  # slots a key on each level of the perfect hash
 
 
 class Encoder:
     """Ids of texts, equal to the tokenizer's own; each distinct white-space separated piece is encoded once.
 
-    The tokenizer drops white space and never joins across it, and splits
-    between a letter or digit and a following full stop or comma. Words of
-    Latin letters alone are lower-cased first and go to the tokenizer many at
-    once, as each ends with the next token that closes a word. Texts with
-    the control characters on which Python and the tokenizer differ about white
-    space go to the tokenizer whole.
+    This holds for tokenizers that compose (NFC), lower-case and blank out white
+    space, cut at ``SPLIT`` and then encode each part by itself: they never join
+    across white space, and cut between Latin letters or digits and the signs
+    behind them. Latin letters alone go to a copy of the tokenizer without the
+    steps that leave them as they are, many at once, as each word ends with
+    the next token that closes one. Any other tokenizer gets whole texts, and so do
+    texts with the control characters on which Python and the tokenizer differ
+    about white space.
     """
 
     def __init__(self, tokenizer_json: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.kind, self.cache = kind, {}
+        self.by_piece = splits_at_blanks(tokenizer_json)
+        if self.by_piece:
+            self.of_words, letters = Tokenizer.from_str(tokenizer_json), ByteLevel(add_prefix_space=False, use_regex=False)
+            self.of_words.normalizer, self.of_words.pre_tokenizer = None, WhitespaceSplit()
+            self.bytewise = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -64,7 +77,9 @@ class Encoder:
         out = []
         for lo in range(0, len(words), 2000):
             some = words[lo:lo + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            line = " ".join(some)
+            line = line if line.isascii() else line.translate(self.bytewise)
+            ids = np.array(self.of_words.encode_batch_fast([line], add_special_tokens=False)[0].ids, self.kind)
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) != len(some):  # a vocabulary that does not close words
                 out += self._plain(some)
@@ -74,33 +89,32 @@ class Encoder:
         return out
 
     def _learn(self, pieces: set[str]) -> None:
-        """Remember the ids of ``pieces``: of their core, and of a final stop or comma after a Latin letter or digit."""
-        cache, words, others = self.cache, set(), set()
-        names, cores, tails = [], [], []  # pieces put together from others
-        for p in pieces:
-            core, tail = (p[:-1], p[-1]) if p[-1] in ".," and p[-2:-1].isalnum() and p[-2] < "\u0100" else (p, "")
-            if core.isalpha() and max(core) < "\u0100":
-                core = core.lower()
-                if core not in cache:
-                    words.add(core)
-            elif core not in cache:
-                others.add(core)
-            if tail or core != p:
-                names.append(p)
-                cores.append(core)
-                tails.append(tail)
-        others.update({".", ","} - cache.keys())
-        for some, encode in ((list(words), self._words), (list(others), self._plain)):
-            cache.update(zip(some, encode(some)))
-        ends = {"": b"", ".": cache["."], ",": cache[","]}
-        cache.update(zip(names, [cache[core] + ends[tail] for core, tail in zip(cores, tails)]))
+        """Remember the ids of ``pieces``: Latin letters and the signs behind them are encoded each by themselves, others whole."""
+        pieces = list(pieces)
+        cores = [p.rstrip(SIGNS) for p in pieces]
+        latin = [c.isalpha() and (c.isascii() or max(c) < "\u0100") for c in cores]
+        others = [p for p, ok in zip(pieces, latin) if not ok]
+        pieces, cores = list(compress(pieces, latin)), list(compress(cores, latin))
+        tails = [p[len(c):] for p, c in zip(pieces, cores)]
+        cores = [c.lower() for c in cores]
+        cache, parts = self.cache, {"": b""}
+        for some, encode in ((set(cores), self._words), (set(tails) - {""}, self._plain)):
+            known = some - some.difference(cache)
+            parts.update((x, cache[x]) for x in known)
+            some = sorted(some - known, key=str.isascii)
+            parts.update(zip(some, encode(some)))
+        cache.update(zip(others, self._plain(others)))
+        get = parts.__getitem__
+        cache.update(zip(pieces, map(add, map(get, cores), map(get, tails))))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as raw bytes."""
+        if not self.by_piece:
+            return [self._plain([t])[0] for t in texts]
         odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
         pieces = [[] if o else t.split() for t, o in zip(texts, odd)]
         own = set(chain.from_iterable(pieces))
-        new = own - self.cache.keys()
+        new = own.difference(self.cache)
         if new:
             if len(self.cache) + 2 * len(new) > CACHE:  # keep what this batch uses
                 self.cache = {p: self.cache[p] for p in own - new}
@@ -109,6 +123,23 @@ class Encoder:
         return [self._plain([t])[0] if o else b"".join(map(get, p)) for t, p, o in zip(texts, pieces, odd)]
 
 
+def splits_at_blanks(tokenizer_json: str) -> bool:
+    """Whether a tokenizer is of the kind whose pieces ``Encoder`` may encode one by one."""
+    spec = json.loads(tokenizer_json)
+    steps = lambda part, name: (part or {}).get(name) or [part or {}]
+    normal, cuts = steps(spec.get("normalizer"), "normalizers"), steps(spec.get("pre_tokenizer"), "pretokenizers")
+    model = spec.get("model") or {}
+    return ([s.get("type") for s in normal] == ["NFC", "Replace", "Lowercase"]
+            and normal[1].get("pattern") == {"Regex": r"\s+"} and normal[1].get("content") == " "
+            and [s.get("type") for s in cuts] == ["Split", "ByteLevel"]
+            and cuts[0].get("pattern") == {"Regex": SPLIT} and cuts[0].get("invert") is True and cuts[0].get("behavior") == "Removed"
+            and not cuts[1].get("add_prefix_space") and not cuts[1].get("use_regex")
+            and model.get("type") == "BPE" and not model.get("dropout") and model.get("end_of_word_suffix") == "</w>"
+            and not spec.get("truncation") and not spec.get("padding")
+            and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or not any(map(str.isalnum, t["content"]))
+                        or any(map(str.isspace, t["content"])) or t["content"].isalpha() for t in spec.get("added_tokens") or ()))
+
+
 def _id_kind(tokenizer_json: str, end_id: int) -> str:
     from tokenizers import Tokenizer
     return "<u2" if max(Tokenizer.from_str(tokenizer_json).get_vocab_size(True), end_id + 1) <= 1 << 16 else "<u4"

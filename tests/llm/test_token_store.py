@@ -38,6 +38,20 @@ def test_every_character_between_letters():
     same([f"a{chr(c)}B. {chr(c)}, {chr(c)}." for c in range(1, 0x11000) if not 0xD800 <= c < 0xE000])
 
 
+def test_signs_behind_words_and_special_tokens_inside_pieces():
+    same(["Wörd!!! wörd### W%rd%% it's' 's don't. x'S ab_c_ &&& (a) <|endoftext|>> a<|endoftext|>. ß~ ÿ` µ' ª| º\\ 12.5%, 7''"] * 2)
+
+
+def test_other_tokenizers_get_whole_texts():
+    spec = tokenizers.Tokenizer.from_file(tokenizer_path())
+    assert encoder().by_piece
+    spec.normalizer = tokenizers.normalizers.Replace("a b", "c")  # joins across blanks
+    own = Encoder(spec.to_str(), "<u2")
+    assert not own.by_piece
+    texts = ["a b a  b", "", "x a b"]
+    assert [np.frombuffer(r, "<u2").tolist() for r in own(texts)] == [spec.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_perfect_hash_is_minimal_and_finds_every_key():
     r = np.random.default_rng(1)
     for n in (0, 1, 2, 1000, 50_000):
