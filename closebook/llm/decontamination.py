@@ -5,8 +5,10 @@ run of 9 grams (the last one on ties). A span of 13 words shared by both holds
 such a run, and both sides keep the same gram of it, so every shared span of 13
 words has a common fingerprint. Items of fewer words are one gram of their own
 length, of which documents keep all. Fingerprints are joined, and each hit is
-extended along its diagonal (document position minus item position) by
-comparing words; runs as long as a window count.
+extended by comparing the words around it on both sides, which hold every
+window that the fingerprint can lie in; runs as long as a window count. Each
+pair is a row of its own and is verified before anything is collected, so a gram
+that stands in every item fills no list.
 
 Documents keep only fingerprints that fall into bins which the benchmark uses,
 a bit map of fixed size whatever the benchmark's size; the join is exact.
@@ -19,7 +21,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_histogram, materialize, packed, row_key
@@ -27,6 +29,7 @@ from .words import gram_hashes, row_slices, texts_of, words_of
 
 GRAM = 5
 BINS = 1 << 22  # bit map of the benchmark's fingerprints: 512 KB
+DOC_FILL, ITEM_FILL = 0, 1  # beyond the ends of a text: equal to nothing
 
 
 def winnow(grams: np.ndarray, run: int) -> np.ndarray:
@@ -48,24 +51,37 @@ def _item_fingerprints(words: np.ndarray, window: int, gram: int) -> tuple[np.nd
     return grams[at], at
 
 
+def contexts(words: np.ndarray, at: np.ndarray, window: int, gram: int, fill: int) -> np.ndarray:
+    """The words around each position, one row each: any window that holds the gram there lies in
+    ``window - gram`` words before it and ``window`` from it on. ``fill`` stands beyond the text's ends."""
+    place = np.asarray(at, np.int64)[:, None] + np.arange(gram - window, window)
+    inside = (place >= 0) & (place < len(words))
+    return np.where(inside, words[np.where(inside, place, 0)] if len(words) else np.uint64(fill), np.uint64(fill))
+
+
+def _raw_rows(table: np.ndarray) -> list[bytes]:
+    return [x.tobytes() for x in table]
+
+
 def _items(benchmark: DataFrame, window: int, gram: int) -> DataFrame:
+    """item_id, number of words, and every fingerprint with the words around it."""
     def run(batches):
         for batch in batches:
-            words, marks = [], []
+            counts, marks = [], []
             data, offs = texts_of(batch.column(1))
             for lo, hi in row_slices(offs):
                 all_words, at = words_of(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], "punct")
                 for a, b in zip(at[:-1], at[1:]):
-                    words.append(all_words[a:b].tobytes())
+                    counts.append(int(b - a))
                     prints, places = _item_fingerprints(all_words[a:b], window, gram)
-                    marks.append([{"print": int(p), "at": int(x)} for p, x in zip(prints.view(np.int64), places)])
+                    around = _raw_rows(contexts(all_words[a:b], places, window, gram, ITEM_FILL))
+                    marks.append([{"print": int(p), "around": x} for p, x in zip(prints.view(np.int64), around)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.binary()),
-                 pa.array(marks, pa.list_(pa.struct([("print", pa.int64()), ("at", pa.int32())])))],
-                names=["item_id", "words", "marks"])
+                [batch.column(0), pa.array(counts, pa.int32()),
+                 pa.array(marks, pa.list_(pa.struct([("print", pa.int64()), ("around", pa.binary())])))],
+                names=["item_id", "n_words", "marks"])
 
-    return benchmark.mapInArrow(run, "item_id string, words binary, marks array<struct<print:long,at:int>>").withColumn(
-        "item", F.monotonically_increasing_id())
+    return benchmark.mapInArrow(run, "item_id string, n_words int, marks array<struct<print:long,around:binary>>")
 
 
 def _documents(docs: DataFrame, used: np.ndarray, short: list[int], window: int, gram: int) -> DataFrame:
@@ -105,41 +121,65 @@ def _documents(docs: DataFrame, used: np.ndarray, short: list[int], window: int,
         "row", F.monotonically_increasing_id())
 
 
-def extend(doc: np.ndarray, item: np.ndarray, diagonal: int, window: int, hit: np.ndarray) -> bool:
-    """Mark in ``hit`` the document words of all windows of ``item`` on this diagonal; true if there are any."""
-    lo, hi = max(0, diagonal), min(len(doc), diagonal + len(item))
-    need = min(window, len(item))
-    if hi - lo < need:
-        return False
-    same = np.concatenate(([False], doc[lo:hi] == item[lo - diagonal:hi - diagonal], [False])).astype(np.int8)
-    step = np.diff(same)
-    begins, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    long = ends - begins >= need
-    for a, b in zip(begins[long], ends[long]):
-        hit[lo + a:lo + b] = True
-    return bool(long.any())
-
+def extend(doc: np.ndarray, item: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First column and length of the run of at least ``need`` equal words in each pair of contexts (length 0: none).
 
-def _extended(matched: DataFrame, window: int) -> DataFrame:
-    """row, n_hit, n_items, items_sha256 from rows (row, text, hits: item_id, words, diagonal)."""
+    A context has room for one such run only: it is shorter than two windows.
+    """
+    same = doc == item
+    ahead, behind = np.zeros(same.shape, np.int64), np.zeros(same.shape, np.int64)
+    last = same.shape[1] - 1
+    for i in range(last + 1):
+        ahead[:, i] = np.where(same[:, i], (ahead[:, i - 1] if i else 0) + 1, 0)
+        j = last - i
+        behind[:, j] = np.where(same[:, j], (behind[:, j + 1] if i else 0) + 1, 0)
+    long = same & (ahead + behind - 1 >= need[:, None])
+    return long.argmax(1), long.sum(1)
+
+
+def _around(found: DataFrame, window: int, gram: int) -> DataFrame:
+    """(row, print, at, around) from rows (row, text, marks)."""
     def run(batches):
         for batch in batches:
-            out = []
-            hits = batch.column(2)
-            for i in range(len(batch)):
+            for i, (row, marks) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
                 data, offs = texts_of(batch.column(1).slice(i, 1))
                 words, _ = words_of(data, offs, "punct")
-                hit, items = np.zeros(len(words), bool), set()
-                for h in hits[i]:
-                    if extend(words, np.frombuffer(h["words"].as_buffer(), np.uint64), h["diagonal"].as_py(), window, hit):
-                        items.add(h["item_id"].as_py() or "")
-                out.append((int(hit.sum()), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()))
-            cols = list(zip(*out)) if out else [[], [], []]
+                for lo in range(0, len(marks), 10_000):
+                    some = marks[lo:lo + 10_000]
+                    at = [m["at"] for m in some]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([row] * len(some), pa.int64()), pa.array([m["print"] for m in some], pa.int64()), pa.array(at, pa.int32()),
+                         pa.array(_raw_rows(contexts(words, np.array(at), window, gram, DOC_FILL)), pa.binary())],
+                        names=["row", "print", "at", "around"])
+
+    return found.mapInArrow(run, "row long, print long, at int, around binary")
+
+
+def _extended(pairs: DataFrame, window: int, gram: int) -> DataFrame:
+    """(row, item_id, lo, hi) of the pairs (row, at, around, item_id, n_words, item_around) that share a window."""
+    def run(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            doc, item = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in (2, 5))
+            first, size = extend(doc, item, np.minimum(batch.column(4).to_numpy(), window))
+            lo = batch.column(1).to_numpy() + first - (window - gram)
+            keep = pa.array(size > 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())],
-                names=["row", "n_hit", "n_items", "items_sha256"])
+                [batch.column(0).filter(keep), batch.column(3).filter(keep), pa.array(lo.astype(np.int32)).filter(keep),
+                 pa.array((lo + size).astype(np.int32)).filter(keep)], names=["row", "item_id", "lo", "hi"])
+
+    return pairs.select("row", "at", "around", "item_id", "n_words", "item_around").mapInArrow(
+        run, "row long, item_id string, lo int, hi int")
+
 
-    return matched.mapInArrow(run, "row long, n_hit long, n_items long, items_sha256 string")
+def _covered(spans: Column) -> Column:
+    """How many places a sorted array of (lo, hi) spans covers."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
+    step = lambda done, x: F.struct(
+        (done["n"] + F.greatest(F.lit(0), x["hi"] - F.greatest(x["lo"], done["end"]))).cast("long").alias("n"),
+        F.greatest(done["end"], x["hi"]).alias("end"))
+    return F.aggregate(spans, start, step, lambda done: done["n"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20, gram: int = GRAM,
@@ -160,21 +200,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
     by id and text (``common.row_key``).
     """
     items = materialize(_items(benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text"), window, gram), "items")
-    marks = items.select("item", F.explode("marks").alias("m")).select("item", "m.print", F.col("m.at").alias("item_at"))
+    marks = items.select("item_id", "n_words", F.explode("marks").alias("m")).select(
+        "item_id", "n_words", "m.print", F.col("m.around").alias("item_around")).distinct()
     used = bounded_histogram(
         marks.select("print"), lambda batch: iter([(batch.column(0).to_numpy().view(np.uint64) >> np.uint64(42)).astype(np.int64)]),
         BINS) > 0
-    short = [r[0] for r in items.select((F.octet_length("words") / 8).cast("int").alias("n"))
+    short = [r[0] for r in items.select(F.col("n_words").alias("n"))
              .filter((F.col("n") > 0) & (F.col("n") < window)).distinct().collect()]  # at most window - 1 numbers
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keyed = keyed.select("doc_id", *row_key(F.col("doc_id"), F.col("text")), "text")
     table = materialize(_documents(keyed, used, sorted(short), window, gram), "fingerprints")
 
-    hits = (table.select("row", F.explode("marks").alias("m")).select("row", "m.print", "m.at").join(marks, "print")
-            .select("row", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct())
-    aligned = (hits.join(items.select("item", "item_id", "words"), "item").groupBy("row")
-               .agg(F.collect_list(F.struct("item_id", "words", "diagonal")).alias("hits")))
-    found = _extended(table.select("row", "text").join(aligned, "row").select("row", "text", "hits"), window)
+    shared = (table.select("row", F.explode("marks").alias("m")).select("row", "m.print", "m.at")
+              .join(marks.select("print").distinct(), "print", "left_semi")
+              .groupBy("row").agg(F.collect_list(F.struct("print", "at")).alias("marks")))  # at most the row's own
+    around = _around(table.select("row", "text").join(shared, "row").select("row", "text", "marks"), window, gram)
+    spans = _extended(around.join(marks, "print"), window, gram)
+    ids = F.sort_array(F.collect_set(F.coalesce("item_id", F.lit(""))))
+    found = spans.groupBy("row").agg(ids.alias("ids"), F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans")).select(
+        "row", _covered(F.col("spans")).alias("n_hit"), F.size("ids").alias("n_items"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("items_sha256"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return table.select("row", "doc_id", "n_words", "key_a", "key_b").join(found, "row", "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),

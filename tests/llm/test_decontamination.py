@@ -40,3 +40,18 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert contamination(cases.frame(spark, []), empty).count() == 0
     assert contamination(cases.frame(spark), empty).filter("n_hit > 0 or contaminated").count() == 0
+
+
+def test_a_gram_of_every_item_and_both_sides_of_the_window(spark):
+    common, p = "w1 w2 w3 w4 w5", cases.text(80, 60).split()
+    items = [(i, f"{cases.text(1000 + i, 20)} {common} {cases.text(3000 + i, 20)}") for i in range(300)]
+    items += [(400, " ".join(p)), (401, common), (402, " ".join(p[:13] + p[20:33]))]
+    words = [x.split() for _, x in items[:300]]
+    rows = [(1, f"{cases.text(81, 50)} {common} {cases.text(82, 50)}", "en", "s"),
+            (2, " ".join(words[7][10:]) + " " + common + " " + " ".join(words[9][:31]), "en", "s"),
+            (3, " ".join(["x"] + p[5:18] + ["y"] + p[5:17] + ["z"] + p[47:60]), "en", "s"),
+            (4, " ".join(p[:13] + ["x"] + p[12:40]), "en", "s"), (5, " ".join(p[20:33] + p[:13]), "en", "s"), (6, None, "en", "s")]
+    got = contamination(cases.frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    brute = cases.contamination_brute(rows, items)
+    assert sorted(tuple(r)[:6] for r in got.collect()) == sorted(brute)
+    assert {r[0]: r[3] for r in brute} == {1: 1, 2: 3, 3: 1, 4: 2, 5: 2, 6: 0}
